@@ -34,10 +34,14 @@ def matched_families(text: Column, rules: list[tuple] = RISK_RULES,
     tests = []
     for family in dict.fromkeys(f for f, _ in rules):
         pattern = any_of([p for f, p in rules if f == family])
-        tests.append(F.when(F.exists(kept, lambda s, p=pattern: s.rlike(p)), F.lit(family)))
+        tests.append(F.when(_some_match(kept, pattern), F.lit(family)))
     return F.array_compact(F.array(*tests))
 
 
+def _some_match(texts: Column, pattern: str) -> Column:
+    return F.exists(texts, lambda s: s.rlike(pattern))
+
+
 def parse_verifier(reply: Column) -> Column:
     """Struct (flags, recommendation) from a reply; NULL when it holds no readable JSON.
 
