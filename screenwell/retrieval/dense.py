@@ -11,6 +11,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from screenwell.functions.text import words
 from screenwell.operators.sampling import top_per_group
@@ -68,8 +70,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _search_block(vectors: DataFrame, names: list, matrix: np.ndarray, k: int,
-                  id_type: str) -> DataFrame:
+                  id_type: DataType) -> DataFrame:
     """Per Arrow batch: one matrix product, then the k best rows per (query, source)."""
+    id_arrow = to_arrow_type(id_type)
+
     def scan(batches):
         for batch in batches:
             if batch.num_rows == 0:
@@ -87,12 +91,14 @@ def _search_block(vectors: DataFrame, names: list, matrix: np.ndarray, k: int,
                     out_s += [name] * len(at)
                     out_i.append(ids[pick][at])
                     out_v.append(scores[at, j])
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({
-                "query_id": out_q, "source": out_s, "chunk_id": np.concatenate(out_i),
-                "score": np.concatenate(out_v)}), preserve_index=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_q, id_arrow), pa.array(out_s, pa.string()),
+                 pa.array(np.concatenate(out_i), pa.int64()),
+                 pa.array(np.concatenate(out_v), pa.float64())],
+                ["query_id", "source", "chunk_id", "score"])
 
     return vectors.select("source", "chunk_id", "vector").mapInArrow(
-        scan, f"query_id {id_type}, source string, chunk_id long, score double")
+        scan, f"query_id {id_type.simpleString()}, source string, chunk_id long, score double")
 
 
 def dense_top(vectors: DataFrame, queries: DataFrame, k: int = 20,
@@ -104,7 +110,7 @@ def dense_top(vectors: DataFrame, queries: DataFrame, k: int = 20,
     blocks of about that size and searched block by block. Each batch of vectors passes on k
     rows per query, so no task or shuffle ever holds all query-vector pairs.
     """
-    id_type = queries.schema["query_id"].dataType.simpleString()
+    id_type = queries.schema["query_id"].dataType
     wanted = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector"))
     parts = [wanted]
     if not fits(wanted, block):

@@ -195,7 +195,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
         _pick(FORUMS, d % len(FORUMS)).alias("subreddit"),
         F.when(d % 5 != 0, title).alias("title"),
         F.when(d % 11 == 0, "[removed]").when(d % 7 != 0, text).alias("body"),
-        F.when(d % 7 == 0, text).alias("selftext"),
+        F.when((d % 7 == 0) & (d % 11 != 0), text).alias("selftext"),
         (F.lit(1700000000) + d * 60).cast("string").alias("created_utc"))
 
 
@@ -206,7 +206,7 @@ POSTS = f"""posts AS (
     CASE WHEN doc_id % 5 <> 0 THEN 'Post ' || lang || ' see http://x.example.com/' || doc_id
       || ' and /r/' || source END AS title,
     CASE WHEN doc_id % 11 = 0 THEN '[removed]' WHEN doc_id % 7 <> 0 THEN text END AS body,
-    CASE WHEN doc_id % 7 = 0 THEN text END AS selftext,
+    CASE WHEN doc_id % 7 = 0 AND doc_id % 11 <> 0 THEN text END AS selftext,
     (1700000000 + doc_id * 60)::VARCHAR AS created_utc
   FROM documents)"""
 
