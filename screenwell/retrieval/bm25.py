@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from screenwell.functions.text import words
 from screenwell.operators.sampling import top_per_group
+from screenwell.retrieval.chunks import saturation
 from screenwell.session import broadcast_checked, cut_lineage
 
-K1, B = 1.5, 0.75
 DIGITS = 6
 # Partial sums are compared with thresholds up to this slack, which covers rounding to DIGITS.
 SLACK = 1e-4
@@ -22,11 +22,6 @@ def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
         "query_id", "term").agg(F.count("*").alias("times"))
 
 
-def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
-    """Term-frequency part of BM25; grows with ``tf``, falls with ``dl``."""
-    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avg_dl))
-
-
 def impact() -> Column:
     """Score that a query's uses of a word add to a chunk."""
     return F.col("times") * F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
@@ -34,8 +29,7 @@ def impact() -> Column:
 
 def bounded_terms(terms: DataFrame, stats: DataFrame) -> DataFrame:
     """Query words with their statistics and the largest and smallest score they can add."""
-    top = F.col("times") * F.col("idf") * saturation(
-        F.col("max_tf"), F.col("min_dl"), F.col("avg_dl"))
+    top = F.col("times") * F.col("idf") * F.col("max_sat")
     return stats.join(broadcast_checked(terms), "term").select(
         *GROUP, "term", "times", "idf", "avg_dl", "df",
         F.greatest(top, F.lit(0.0)).alias("high"), F.least(top, F.lit(0.0)).alias("low"))

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenwell.functions.text import words
 from screenwell.session import broadcast_checked
 
 
+K1, B = 1.5, 0.75
+
+
+def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
+    """Term-frequency part of BM25."""
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avg_dl))
+
+
 def chunk_text(df: DataFrame, text: str = "text", size: int = 512, overlap: int = 64) -> DataFrame:
     """One row per chunk with its position; empty text has none.
 
@@ -47,17 +55,19 @@ def source_stats(chunks: DataFrame, text: str = "text") -> DataFrame:
 
 
 def term_stats(post: DataFrame, sources: DataFrame, epsilon: float = 0.25) -> DataFrame:
-    """Document frequency, idf and largest count / smallest length per (source, term).
+    """Document frequency, idf and largest saturation per (source, term).
 
     A negative idf (a term in more than half of the chunks) becomes ``epsilon`` times the mean
     idf of the source. ``sources`` is small: one row per source.
     """
-    df = post.groupBy("source", "term").agg(
-        F.count("*").alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"))
+    small = broadcast_checked(sources, 10_000)
+    sat = saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
+    df = post.join(small, "source").groupBy("source", "term").agg(
+        F.count("*").alias("df"), F.max(sat).alias("max_sat"))
     n = F.col("n_chunks")
-    raw = df.join(broadcast_checked(sources, 10_000), "source").withColumn(
+    raw = df.join(small, "source").withColumn(
         "_idf", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     means = raw.groupBy("source").agg(F.avg("_idf").alias("_mean"))
     floor = F.when(F.col("_idf") < 0, F.col("_mean") * epsilon).otherwise(F.col("_idf"))
-    return raw.join(means, "source").select("source", "term", "df", "max_tf", "min_dl",
-                                            floor.alias("idf"), "n_chunks", "avg_dl")
+    return raw.join(means, "source").select("source", "term", "df", "max_sat", floor.alias("idf"),
+                                            "n_chunks", "avg_dl")

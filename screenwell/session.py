@@ -40,3 +40,13 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the row count has been checked; otherwise a shuffle join."""
     return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a table that was read as fewer partitions than there are cores.
+
+    Meant for heavy per-row work on small inputs in one file; a large table has more partitions
+    than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -28,9 +28,12 @@ class Index:
 
 
 def build_index(chunks: DataFrame, encoder=None) -> Index:
-    """Index over chunks (source, chunk_id, text and further metadata columns)."""
-    post = postings(chunks)
-    stats = term_stats(post, cut_lineage(source_stats(chunks)))
+    """Index over chunks (source, chunk_id, text and further metadata columns).
+
+    Postings are checkpointed: statistics and every search step read them.
+    """
+    post = cut_lineage(postings(chunks))
+    stats = cut_lineage(term_stats(post, cut_lineage(source_stats(chunks))))
     vectors = embed(chunks, "text", "vector", encoder).select("source", "chunk_id", "vector")
     return Index(chunks, post, stats, vectors)
 

@@ -1,4 +1,4 @@
 """Queries over the driver tables, each with its SQL counterpart where SQL can express it."""
 
-from workload import q_records, q_retrieval, q_text  # noqa: F401
+from workload import q_evaluation, q_records, q_retrieval, q_text  # noqa: F401
 from workload.registry import ORACLES, QUERIES  # noqa: F401

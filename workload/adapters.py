@@ -15,7 +15,7 @@ from screenwell.fixed_values import (ALL_ITEMS, BAND_SCORES, GAD_BANDS, GAD_ITEM
                                      PHQ_ITEMS, SUBREDDIT_LABELS)
 from screenwell.functions.hashing import bucket
 from screenwell.operators.triage import score_record
-from screenwell.session import checkpoint_folder
+from screenwell.session import checkpoint_folder, cut_lineage, spread
 
 # Multipliers that spread the 16 item values (fixed values of the adapter).
 PRIMES = [5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59, 61]
@@ -68,7 +68,7 @@ def add_record_columns(events: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    return add_record_columns(table(spark, sf, "events"))
+    return add_record_columns(spread(table(spark, sf, "events"), "event_id"))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,7 +154,10 @@ BAND_CODE = {"none": 0, "mild": 1, "moderate": 2, "moderately_severe": 3, "sever
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """(record_id, y, prediction, probability, gender, age) with some errors by arithmetic."""
+    """(record_id, y, prediction, probability, gender, age) with some errors by arithmetic.
+
+    Checkpointed, as predictions are a stored table that evaluation reads more than once.
+    """
     df = scored(spark, sf)
     r = F.col("record_id")
     y = F.lit(4)
@@ -167,8 +170,9 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     weights = [1 + (r * (c + 3)) % 5 + F.when(F.col("prediction") == c, 8).otherwise(0)
                for c in range(5)]
     total = sum(weights[1:], weights[0])
-    return df.select("record_id", "y", "prediction", "gender", "age", "split",
-                     F.array(*[w / total.cast("double") for w in weights]).alias("probability"))
+    shares = F.array(*[w / total.cast("double") for w in weights])
+    return cut_lineage(df.select("record_id", "y", "prediction", "gender", "age", "split",
+                                 shares.alias("probability")))
 
 
 _W = [f"(1 + (record_id * {c + 3}) % 5 + CASE WHEN prediction = {c} THEN 8 ELSE 0 END)"
@@ -228,7 +232,8 @@ CLEAN = f"""{POSTS}, clean AS (
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the language as source."""
-    return table(spark, sf, "documents").select("doc_id", F.col("lang").alias("source"), "text")
+    docs = spread(table(spark, sf, "documents"), "doc_id")
+    return docs.select("doc_id", F.col("lang").alias("source"), "text")
 
 
 def search_queries(spark: SparkSession, sf: str) -> DataFrame:

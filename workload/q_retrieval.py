@@ -30,7 +30,7 @@ def corpus_index(spark, sf):
 
 def keyword_index(spark, sf):
     parts = corpus_chunks(spark, sf).select("source", "chunk_id", "text")
-    post = chunks.postings(parts)
+    post = cut_lineage(chunks.postings(parts))
     return post, chunks.term_stats(post, cut_lineage(chunks.source_stats(parts)))
 
 
