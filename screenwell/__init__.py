@@ -1 +1,8 @@
 """Questionnaire screening, text triage, retrieval and monitoring on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

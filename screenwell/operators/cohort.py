@@ -10,6 +10,7 @@ from screenwell.fixed_values import (COHORT_COLUMNS, DELETED_AUTHOR, REMOVED_MAR
 from screenwell.functions.bands import lookup
 from screenwell.functions.hashing import bucket
 from screenwell.functions.text import clean_text
+from screenwell.operators.rows import with_kept
 
 
 def with_missing(df: DataFrame, names: list[str]) -> DataFrame:
@@ -27,8 +28,8 @@ def clean_posts(df: DataFrame, min_length: int = 20, strict: bool = False) -> Da
     kept = df.filter(F.col("author").isNotNull() & (F.col("author") != DELETED_AUTHOR))
     if strict:
         kept = kept.filter(~F.coalesce(F.trim(body), F.lit("")).isin(*REMOVED_MARKERS))
-    kept = kept.withColumn("text", clean_text(F.col("title"), body))
-    return kept.filter((F.length("text") >= min_length) & ~F.col("text").isin(*REMOVED_MARKERS))
+    return with_kept(kept, "text", clean_text(F.col("title"), body),
+                     lambda t: (F.length(t) >= min_length) & ~t.isin(*REMOVED_MARKERS))
 
 
 def allowed_forums(df: DataFrame, labels: dict[str, str] = SUBREDDIT_LABELS) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenwell.fixed_values import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 from screenwell.functions.numeric import (chi_square_tail, kolmogorov_tail, normal_two_sided,
                                           ratio)
 from screenwell.operators.running import running_sums
+from screenwell.session import cut_lineage
 
 LARGE_REFERENCE = 1000
 FEW_VALUES = 5
@@ -21,20 +22,31 @@ def shared_columns(reference: DataFrame, current: DataFrame, wanted: list[str])
     return [c for c in wanted if c in reference.columns and c in current.columns]
 
 
-def value_counts(reference: DataFrame, current: DataFrame, columns: list[str],
-                 kind: str) -> DataFrame:
-    """(column, value, n_ref, n_cur) aligned by value, NULLs left out.
+def value_counts(reference: DataFrame, current: DataFrame, numeric: list[str],
+                 categorical: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(column, value, n_ref, n_cur) aligned by value, NULLs left out: numeric and categorical.
 
-    Both tables are unioned and counted in one aggregation instead of being joined afterwards.
+    Both tables are unioned and all columns counted in one aggregation, so each table is read
+    once; the counts are stored, as every statistic starts from them.
     """
+    none = F.lit(None)
+
+    def entry(name: str, number: Column, text: Column) -> Column:
+        return F.struct(F.lit(name).alias("column"), number.cast("double").alias("number"),
+                        text.cast("string").alias("text"))
+
+    pairs = F.array(*[entry(c, F.col(c), none) for c in numeric],
+                    *[entry(c, none, F.col(c)) for c in categorical])
+
     def long(df: DataFrame, is_ref: int) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value"))
-                          for c in columns])
-        return df.select(F.inline(pairs)).select("column", "value", F.lit(is_ref).alias("_ref"))
+        return df.select(F.inline(pairs)).withColumn("_ref", F.lit(is_ref))
 
-    both = long(reference, 1).unionByName(long(current, 0)).filter(F.col("value").isNotNull())
-    return both.groupBy("column", "value").agg(F.sum("_ref").alias("n_ref"),
-                                               F.sum(1 - F.col("_ref")).alias("n_cur"))
+    both = long(reference, 1).unionByName(long(current, 0))
+    counts = cut_lineage(both.groupBy("column", "number", "text").agg(
+        F.sum("_ref").alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur")))
+    parts = [counts.select("column", F.col(kind).alias("value"), "n_ref", "n_cur").filter(
+        F.col("value").isNotNull()) for kind in ("number", "text")]
+    return parts[0], parts[1]
 
 
 def value_counts_by_join(reference: DataFrame, current: DataFrame, column: str) -> DataFrame:
@@ -54,7 +66,7 @@ def column_sizes(counts: DataFrame) -> DataFrame:
 
 def curve_distances(counts: DataFrame) -> DataFrame:
     """Normalised Wasserstein distance and Kolmogorov-Smirnov statistic per numeric column."""
-    run = running_sums(counts, ["column"], "value", ["n_ref", "n_cur"])
+    run = running_sums(counts, ["column"], "value", ["n_ref", "n_cur"], stored=True)
     ref = (F.col("before_n_ref") + F.col("n_ref")) / F.col("total_n_ref")
     cur = (F.col("before_n_cur") + F.col("n_cur")) / F.col("total_n_cur")
     gap = F.abs(ref - cur)
@@ -106,8 +118,7 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: list[str] = D
     """
     numeric = shared_columns(reference, current, numeric)
     categorical = shared_columns(reference, current, categorical)
-    num = value_counts(reference, current, numeric, "double")
-    cat = value_counts(reference, current, categorical, "string")
+    num, cat = value_counts(reference, current, numeric, categorical)
     shares = share_distances(num).withColumn("kind", F.lit("num")).unionByName(
         share_distances(cat).withColumn("kind", F.lit("cat")))
     table = shares.join(curve_distances(num), "column", "left")

@@ -9,6 +9,7 @@ from screenwell.fixed_values import (AGE_RANGE, ALL_ITEMS, AUDIT_DEFAULTS, GAD_I
                                      NARRATIVE_MAX, PHQ_ITEMS, PLACEHOLDER_NARRATIVES)
 from screenwell.functions.bands import gad_band, item_total, phq_band
 from screenwell.functions.text import strip_blank
+from screenwell.operators.rows import with_kept
 
 
 def record_errors(df: DataFrame) -> DataFrame:
@@ -47,8 +48,7 @@ def fill_defaults(df: DataFrame, defaults: dict = AUDIT_DEFAULTS) -> DataFrame:
 
 def with_narrative(df: DataFrame, column: str = "narrative") -> DataFrame:
     """Keep records whose narrative is not blank, stripped."""
-    stripped = df.withColumn(column, strip_blank(F.col(column)))
-    return stripped.filter(F.length(column) > 0)
+    return with_kept(df, column, strip_blank(F.col(column)), lambda t: F.length(t) > 0)
 
 
 def check_records(df: DataFrame) -> DataFrame:

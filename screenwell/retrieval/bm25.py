@@ -36,10 +36,15 @@ def bounded_terms(terms: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def _partial(post: DataFrame, terms: DataFrame) -> DataFrame:
-    """Sum of impacts per (query, source, chunk); postings are not shuffled while the query
-    words fit a broadcast."""
+    """Sum of impacts per (query, source, chunk).
+
+    Postings of the query words are spread by chunk first, each once. While the words fit a
+    broadcast, scores are then added up where the postings are: (query, chunk) pairs, of which
+    there can be many more, are never shuffled.
+    """
     held = broadcast_checked(terms.select(*GROUP, "term", "times", "idf", "avg_dl"))
-    return post.join(held, ["source", "term"]).groupBy(*GROUP, "chunk_id").agg(
+    near = post.join(held, ["source", "term"], "left_semi").repartition("source", "chunk_id")
+    return near.join(held, ["source", "term"]).groupBy(*GROUP, "chunk_id").agg(
         F.sum(impact()).alias("partial"))
 
 
@@ -49,30 +54,40 @@ def _kth(partial: DataFrame, k: int) -> DataFrame:
     return best.filter(F.col("rank") == k).select(*GROUP, F.col("partial").alias("kth"))
 
 
-def bm25_all(post: DataFrame, stats: DataFrame, terms: DataFrame, k: int = 20) -> DataFrame:
-    """Top ``k`` by scoring every chunk that shares a word with a query; for small corpora."""
-    total = _partial(post, bounded_terms(terms, stats)).withColumn(
-        "score", F.round("partial", DIGITS)).drop("partial")
-    return top_per_group(total.filter(F.col("score") > 0), GROUP, "score", "chunk_id", k)
+def _ranked(total: DataFrame, k: int) -> DataFrame:
+    """Positive scores, the best ``k`` per (query, source), ties by the larger chunk_id."""
+    scored = total.select(*GROUP, "chunk_id", F.round("partial", DIGITS).alias("score"))
+    return top_per_group(scored.filter(F.col("score") > 0), GROUP, "score", "chunk_id", k)
 
 
 def bm25_top(post: DataFrame, stats: DataFrame, terms: DataFrame, k: int = 20,
-             seed_rows: int = 20_000) -> DataFrame:
-    """Best ``k`` chunks with a positive score per (query, source), ties by the larger chunk_id.
+             full_ratio: float = 20.0, seed_rows: int = 20_000) -> DataFrame:
+    """Best ``k`` chunks with a positive score per (query, source).
+
+    Every chunk that shares a word with a query is scored, unless that would touch more than
+    ``full_ratio`` times the postings there are (many queries full of common words). Then the
+    search is pruned; both ways give the same result.
+    """
+    used = cut_lineage(bounded_terms(terms, stats))
+    touched, held = [t.agg(F.sum("df")).first()[0] or 0 for t in (used, stats)]
+    if touched <= full_ratio * held:
+        return _ranked(_partial(post, used), k)
+    return _pruned(post, used, k, seed_rows)
+
 
-    Scoring every chunk that shares any word would multiply the commonest words by all queries.
-    Instead the rarest words of a query (up to about ``seed_rows`` postings) give a first k-th
-    score; common words whose largest possible contributions together stay below that score
-    cannot bring in a chunk on their own. They are added afterwards, by (chunk, word), only for
-    chunks that can still reach the top. The result is that of ``bm25_all``.
+def _pruned(post: DataFrame, used: DataFrame, k: int, seed_rows: int) -> DataFrame:
+    """Exact top ``k`` without scoring chunks that only share common words.
 
-    The small tables between the steps are checkpointed, so that their size is known when the
-    next step chooses between a broadcast and a shuffle.
+    The rarest words of a query (up to about ``seed_rows`` postings) give a first k-th score.
+    Common words whose largest possible contributions together stay below that score cannot
+    bring in a chunk on their own. They are added afterwards, by (chunk, word), only for chunks
+    that can still reach the top. The small tables between the steps are stored, so that their
+    size is known when the next step chooses between a broadcast and a shuffle.
     """
     by_group = Window.partitionBy(*GROUP)
     rare_first = by_group.orderBy("df", "term")
     volume = F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, 0))
-    used = cut_lineage(bounded_terms(terms, stats).withColumn(
+    used = cut_lineage(used.withColumn(
         "_seed", (F.row_number().over(rare_first) == 1) | (volume <= seed_rows)))
 
     seed = _kth(_partial(post, used.filter("_seed")), k)
@@ -95,7 +110,6 @@ def bm25_top(post: DataFrame, stats: DataFrame, terms: DataFrame, k: int = 20,
         later.select(*GROUP, "term", "times", "idf", "avg_dl"), GROUP)
     more = post.join(broadcast_checked(wanted), ["source", "chunk_id", "term"]).groupBy(
         *GROUP, "chunk_id").agg(F.sum(impact()).alias("more"))
-    score = F.round(F.col("partial") + F.coalesce("more", F.lit(0.0)), DIGITS)
-    total = kept.join(more, [*GROUP, "chunk_id"], "left").select(
-        *GROUP, "chunk_id", score.alias("score"))
-    return top_per_group(total.filter(F.col("score") > 0), GROUP, "score", "chunk_id", k)
+    total = kept.join(more, [*GROUP, "chunk_id"], "left")
+    return _ranked(total.withColumn(
+        "partial", F.col("partial") + F.coalesce("more", F.lit(0.0))), k)

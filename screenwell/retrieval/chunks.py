@@ -48,10 +48,12 @@ def postings(chunks: DataFrame, text: str = "text") -> DataFrame:
     return exploded.select("source", "chunk_id", "term", tf.alias("tf"), "dl")
 
 
-def source_stats(chunks: DataFrame, text: str = "text") -> DataFrame:
+def source_stats(chunks: DataFrame, post: DataFrame) -> DataFrame:
     """Chunk count and mean length in words per source; chunks without words count."""
-    return chunks.select("source", F.size(words(F.col(text))).alias("dl")).groupBy("source").agg(
-        F.count("*").alias("n_chunks"), F.avg("dl").alias("avg_dl"))
+    n = chunks.groupBy("source").agg(F.count("*").alias("n_chunks"))
+    total = post.groupBy("source").agg(F.sum("tf").alias("_words"))
+    return n.join(total, "source", "left").select(
+        "source", "n_chunks", (F.coalesce("_words", F.lit(0)) / F.col("n_chunks")).alias("avg_dl"))
 
 
 def term_stats(post: DataFrame, sources: DataFrame, epsilon: float = 0.25) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,7 +21,6 @@ DIGITS = 6
 QUERY_BLOCK = 4096
 
 
-@lru_cache(maxsize=200_000)
 def _slot(word: str, dim: int) -> int:
     return int(hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()[:8], 16) % dim
 
@@ -31,9 +29,12 @@ def hashing_encoder(dim: int = 64) -> Callable[[Column], Column]:
     """Encoder: hashed word counts scaled to length 1 (all zeros without words)."""
     @F.pandas_udf("array<double>")
     def encode(lists: pd.Series) -> pd.Series:
-        out = np.zeros((len(lists), dim))
-        for i, listed in enumerate(lists):
-            np.add.at(out[i], [_slot(w, dim) for w in listed], 1.0)
+        size = lists.str.len().to_numpy()
+        flat = np.concatenate([*lists, np.array([], dtype=object)])
+        codes, known = pd.factorize(flat)
+        slots = np.array([_slot(w, dim) for w in known], dtype=np.int64)
+        cell = np.repeat(np.arange(len(lists)), size) * dim + slots[codes]
+        out = np.bincount(cell, minlength=len(lists) * dim).reshape(-1, dim).astype(float)
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return pd.Series(list(out / np.where(norm > 0, norm, 1.0)))
 

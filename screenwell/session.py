@@ -1,8 +1,9 @@
-"""Session helpers: shared checkpoint folder and size-checked broadcasts."""
+"""Session helpers: shared folder, lineage cuts and size-checked broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    The result survives the loss of executors, is read column-wise, and tells the optimizer its
+    size, so that small results are broadcast and large ones are not.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenwell.functions.text import document_text
+from screenwell.operators.rows import with_kept
 
 ARTICLES = "$.PubmedArticleSet.PubmedArticle"
 
@@ -38,10 +39,10 @@ def articles(replies: DataFrame, json: str = "json", min_length: int = 50) -> Da
         F.transform(F.from_json(body, "array<string>"), _text), " ")).otherwise(_text(body))
     pmid = F.get_json_object("art", "$.MedlineCitation.PMID['#text']")
     title = F.get_json_object("art", "$.MedlineCitation.Article.ArticleTitle")
-    flat = art.select(*keep, F.coalesce(pmid, F.lit("")).alias("pmid"),
-                      F.coalesce(_text(title), F.lit("")).alias("title"),
-                      F.coalesce(abstract, F.lit("")).alias("abstract"))
-    return flat.filter(F.length("abstract") > min_length)
+    long = with_kept(art, "abstract", F.coalesce(abstract, F.lit("")),
+                     lambda t: F.length(t) > min_length)
+    return long.select(*keep, F.coalesce(pmid, F.lit("")).alias("pmid"),
+                       F.coalesce(_text(title), F.lit("")).alias("title"), "abstract")
 
 
 def article_documents(flat: DataFrame) -> DataFrame:

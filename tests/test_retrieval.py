@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from screenwell.fixed_values import NO_HIT_ANSWER
 from screenwell.plans.retrieval_plan import answer_queries, evaluate, evaluation_questions, retrieve
 from screenwell.plans.triage_plan import triage
-from screenwell.retrieval.bm25 import bm25_all, bm25_top, query_terms
+from screenwell.retrieval.bm25 import bm25_top, query_terms
 from screenwell.retrieval.chunks import (chunk_text, number_chunks, postings, source_stats,
                                          term_stats)
 from screenwell.retrieval.dense import dense_top, embed
@@ -53,23 +53,22 @@ def brute_bm25(rows, query, k=5):
     return out
 
 
-@pytest.mark.parametrize("seed_rows", [1, 30, 10_000])
-def test_bm25_equals_brute_force(spark, seed_rows):
+@pytest.mark.parametrize("ratio,seed_rows", [(1e9, 1), (0.0, 1), (0.0, 30), (0.0, 10_000)])
+def test_bm25_equals_brute_force(spark, ratio, seed_rows):
     rows, chunks = corpus(spark)
     texts = ["w0 w1 w2 w0", "w30 w0 w45", "w50 w51 w52 w53 w1", "w0", "unknown"]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id long, query_text string")
     post = postings(chunks)
-    stats = term_stats(post, source_stats(chunks))
+    stats = term_stats(post, source_stats(chunks, post))
     terms = query_terms(queries)
-    for found in (bm25_top(post, stats, terms, 5, seed_rows), bm25_all(post, stats, terms, 5)):
-        got = {}
-        for r in found.orderBy("query_id", "source", "rank").collect():
-            got.setdefault((r.query_id, r.source), []).append((r.score, r.chunk_id))
-        for q, text in enumerate(texts):
-            for source, want in brute_bm25(rows, text).items():
-                mine = got.get((q, source), [])
-                assert [i for _, i in mine] == [i for _, i in want]
-                assert np.allclose([s for s, _ in mine], [s for s, _ in want], atol=2e-6)
+    found, got = bm25_top(post, stats, terms, 5, ratio, seed_rows), {}
+    for r in found.orderBy("query_id", "source", "rank").collect():
+        got.setdefault((r.query_id, r.source), []).append((r.score, r.chunk_id))
+    for q, text in enumerate(texts):
+        for source, want in brute_bm25(rows, text).items():
+            mine = got.get((q, source), [])
+            assert [i for _, i in mine] == [i for _, i in want]
+            assert np.allclose([s for s, _ in mine], [s for s, _ in want], atol=2e-6)
 
 
 @pytest.mark.parametrize("block", [3, 1000])

@@ -193,7 +193,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("text")
     title = F.concat(F.lit("Post "), "lang", F.lit(" see http://x.example.com/"),
                      d.cast("string"), F.lit(" and /r/"), "source")
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents"), "doc_id").select(
         F.when(d % 41 == 0, "[deleted]").when(d % 43 != 0, F.concat(
             F.lit("u"), (d % 97).cast("string"))).alias("author"),
         _pick(FORUMS, d % len(FORUMS)).alias("subreddit"),

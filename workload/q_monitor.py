@@ -221,7 +221,7 @@ SELECT "column", round(wd, 6) AS wasserstein, round(ks, 6) AS ks FROM crv""")
 def _(spark, sf):
     events = A.table(spark, sf, "events")
     early = F.col("ts") < F.lit(CUT).cast("timestamp")
-    counts = drift.value_counts(events.filter(early), events.filter(~early), ["value"], "double")
+    counts, _ = drift.value_counts(events.filter(early), events.filter(~early), ["value"], [])
     return drift.curve_distances(counts).select(
         "column", F.round("wasserstein", 6).alias("wasserstein"), F.round("ks", 6).alias("ks"))
 
