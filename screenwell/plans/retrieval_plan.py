@@ -11,6 +11,7 @@ from screenwell.retrieval.bm25 import bm25_top, query_terms
 from screenwell.retrieval.dense import dense_top, embed
 from screenwell.retrieval.hybrid import (K_BM25, K_DENSE, K_FINAL, answers, cite, context_scores,
                                          merge_hits, only_sources, rerank, word_overlap)
+from screenwell.session import broadcast_checked, cut_lineage
 from screenwell.sources.index_store import Index
 
 
@@ -41,7 +42,8 @@ def evaluate(questions: DataFrame, index: Index, **options) -> DataFrame:
 
     Equal questions are searched once.
     """
-    queries = questions.select(F.col("question").alias("query_text")).distinct().withColumn(
-        "query_id", F.md5("query_text"))
-    found = answer_queries(queries, index, **options).withColumnRenamed("query_text", "question")
-    return context_scores(questions.join(found.drop("query_id"), "question"))
+    queries = cut_lineage(questions.select(F.col("question").alias("query_text")).distinct()
+                          .withColumn("query_id", F.md5("query_text")))
+    found = cut_lineage(answer_queries(queries, index, **options).select(
+        F.col("query_text").alias("question"), "answer", "citations", "context_chunks"))
+    return context_scores(questions.join(broadcast_checked(found), "question"))

@@ -12,6 +12,7 @@ from screenwell.operators.triage import (join_model_scores, literature_query, sc
                                          stratify_risk)
 from screenwell.plans.retrieval_plan import retrieve
 from screenwell.retrieval.hybrid import answers, cite, differential
+from screenwell.session import broadcast_checked, cut_lineage
 from screenwell.sources.index_store import Index
 
 NO_CITATIONS = ("CAST(array() AS array<struct<source:string,pmid:string,disorder:string,"
@@ -22,18 +23,19 @@ def add_literature(df: DataFrame, index: Index | None = None, **options) -> Data
     """Context, citations and differential for each record's query.
 
     Records share few distinct queries (they depend on bands, a flag and symptom names), so the
-    search runs once per distinct query text.
+    search runs once per distinct query text and its small result goes to the records.
     """
     df = literature_query(df)
     if index is None:
         return df.withColumns({"dsm_context": F.lit(NO_INDEX_CONTEXT),
                                "citations": F.expr(NO_CITATIONS),
                                "dsm_differential": F.expr("CAST(array() AS array<string>)")})
-    queries = df.select("query_text").distinct().withColumn("query_id", F.md5("query_text"))
-    found = answers(queries, cite(retrieve(queries, index, **options))).select(
+    queries = cut_lineage(df.select("query_text").distinct().withColumn(
+        "query_id", F.md5("query_text")))
+    found = cut_lineage(answers(queries, cite(retrieve(queries, index, **options))).select(
         "query_text", F.col("answer").alias("dsm_context"), "citations",
-        differential(F.col("citations")).alias("dsm_differential"))
-    return df.join(found, "query_text", "left")
+        differential(F.col("citations")).alias("dsm_differential")))
+    return df.join(broadcast_checked(found), "query_text", "left")
 
 
 def triage(records: DataFrame, scores: DataFrame | None = None, index: Index | None = None,

@@ -42,8 +42,30 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+FAMILIES = {
+    "whole": {"tinyint", "smallint", "int", "integer", "bigint"},
+    "real": {"float", "double"},
+    "text": {"string", "varchar"},
+    "flag": {"boolean"},
+}
+
+
+def family(kind: str) -> str:
+    return next((f for f, kinds in FAMILIES.items() if kind.lower() in kinds), kind.lower())
+
+
+def type_difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """Columns whose kind of type (whole, real, text, flag) differs between both sides."""
+    theirs = {r[0]: family(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    mine = {n: family(k) for n, k in df.dtypes}
+    odd = {n: (k, theirs.get(n)) for n, k in mine.items() if theirs.get(n) != k}
+    return f"types {odd}" if odd else None
+
+
 def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when both sides have the same columns and rows, else a short description."""
+    if odd := type_difference(df, con, sql):
+        return odd
     mine = rows_of(df.columns, df.collect())
     cursor = con.execute(sql)
     theirs = rows_of([d[0] for d in cursor.description], cursor.fetchall())

@@ -229,3 +229,13 @@ def _(spark, sf):
         n = getattr(loaded, name).groupBy("source").agg(F.count("*").alias(name))
         out = n if out is None else out.join(n, "source", "full_outer")
     return out
+
+
+@query("t16_triage_with_literature")
+def _(spark, sf):
+    """All records against the document index: every record gets its query's citations."""
+    from screenwell.plans.triage_plan import triage
+
+    judged = triage(A.records(spark, sf), index=corpus_index(spark, sf))
+    return judged.groupBy("query_text", "safety_verdict").agg(
+        F.count("*").alias("n"), F.max(F.size("citations")).alias("n_citations"))
