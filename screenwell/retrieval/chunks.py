@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenwell.functions.text import words
-from screenwell.session import broadcast_checked
+from screenwell.session import cut_lineage, fits
 
 
 K1, B = 1.5, 0.75
@@ -60,16 +60,18 @@ def term_stats(post: DataFrame, sources: DataFrame, epsilon: float = 0.25) -> Da
     """Document frequency, idf and largest saturation per (source, term).
 
     A negative idf (a term in more than half of the chunks) becomes ``epsilon`` times the mean
-    idf of the source. ``sources`` is small: one row per source.
+    idf of the source. The counts are stored, being needed for the mean and for the result.
+    ``sources`` and the means have one row per source and are broadcast when those are few.
     """
-    small = broadcast_checked(sources, 10_000)
+    few = fits(sources, 10_000)
+    hint = F.broadcast if few else lambda df: df
     sat = saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
-    df = post.join(small, "source").groupBy("source", "term").agg(
+    df = post.join(hint(sources), "source").groupBy("source", "term").agg(
         F.count("*").alias("df"), F.max(sat).alias("max_sat"))
     n = F.col("n_chunks")
-    raw = df.join(small, "source").withColumn(
-        "_idf", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+    raw = cut_lineage(df.join(hint(sources), "source").withColumn(
+        "_idf", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)))
     means = raw.groupBy("source").agg(F.avg("_idf").alias("_mean"))
     floor = F.when(F.col("_idf") < 0, F.col("_mean") * epsilon).otherwise(F.col("_idf"))
-    return raw.join(means, "source").select("source", "term", "df", "max_sat", floor.alias("idf"),
-                                            "n_chunks", "avg_dl")
+    return raw.join(hint(means), "source").select(
+        "source", "term", "df", "max_sat", floor.alias("idf"), "n_chunks", "avg_dl")

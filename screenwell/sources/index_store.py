@@ -30,10 +30,10 @@ class Index:
 def build_index(chunks: DataFrame, encoder=None) -> Index:
     """Index over chunks (source, chunk_id, text and further metadata columns).
 
-    Postings and statistics are stored once; every search step reads them.
+    Postings and word counts are stored once; every search step reads them.
     """
     post = cut_lineage(postings(chunks))
-    stats = cut_lineage(term_stats(post, cut_lineage(source_stats(chunks, post))))
+    stats = term_stats(post, cut_lineage(source_stats(chunks, post)))
     vectors = embed(chunks, "text", "vector", encoder).select("source", "chunk_id", "vector")
     return Index(chunks, post, stats, vectors)
 

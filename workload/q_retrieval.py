@@ -31,8 +31,7 @@ def corpus_index(spark, sf):
 def keyword_index(spark, sf):
     parts = corpus_chunks(spark, sf).select("source", "chunk_id", "text")
     post = cut_lineage(chunks.postings(parts))
-    return post, cut_lineage(chunks.term_stats(post, cut_lineage(
-        chunks.source_stats(parts, post))))
+    return post, chunks.term_stats(post, cut_lineage(chunks.source_stats(parts, post)))
 
 
 @query("r03_postings", f"""WITH {A.BM25}
