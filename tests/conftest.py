@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,6 +14,7 @@ def spark():
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "6g")
+               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="screenwell-tests-"))
                .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
