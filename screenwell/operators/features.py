@@ -65,8 +65,3 @@ def model_matrix(df: DataFrame, categories: dict[str, list[str]], split: str = "
     for column in CATEGORICAL_FEATURES:
         out = one_hot(out, column, categories[column])
     return out
-
-
-def feature_names(categories: dict[str, list[str]]) -> list[str]:
-    return (NUMERIC_FEATURES + DERIVED_FEATURES + BINARY_FEATURES
-            + [f"{c}_{v}" for c in CATEGORICAL_FEATURES for v in categories[c]])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenwell.fixed_values import ALL_ITEMS, AUDIT_DEFAULTS
+from screenwell.fixed_values import AUDIT_DEFAULTS
 from screenwell.functions.text import iso_now
 from screenwell.operators.audit import last_records
 from screenwell.operators.validate import fill_defaults
@@ -42,10 +42,6 @@ def read_log(spark: SparkSession, path: str, last_n: int | None = None) -> DataF
     return log if last_n is None else last_records(log, last_n)
 
 
-def feature_columns() -> list[str]:
-    return ALL_ITEMS + ["age", "gender"]
-
-
 def json_line(df: DataFrame) -> DataFrame:
     """Each record as one JSON string, in record order."""
     return df.select(F.to_json(F.struct(*[c for c in COLUMNS if c in df.columns])).alias("line"))

@@ -45,7 +45,3 @@ def admit_stream(df: DataFrame, key: str, time: str, order: str, limit: int = 10
 
     return rows.groupBy(key).applyInPandasWithState(
         step, out_schema, "recent array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def admitted_only(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("admitted"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from screenwell.operators.cohort import clean_posts, first_copy, split_by_user
 from screenwell.plans import cohort_job
-from screenwell.sources.bibliography import articles
+from screenwell.sources.bibliography import article_documents, articles
 from screenwell.sources.files import read_posts, read_split, read_summaries
 
 BODY = '''author,subreddit,title,body,created_utc
@@ -86,6 +86,8 @@ def test_bibliography_shapes(spark):
     df = spark.createDataFrame([(r,) for r in replies], "json string")
     got = {r.title: r.abstract for r in articles(df).collect()}
     assert got == {"t1": long_text, "t3": long_text, "t4": long_text + " tail "}
+    documents = article_documents(articles(df)).filter("title = 't1'").first()
+    assert (documents.source, documents.text) == ("pubmed", "t1\n\n" + long_text)
 
 
 def test_custom_summaries(spark, tmp_path):
