@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from screenwell.operators.limits import MICROS, admit, micros
