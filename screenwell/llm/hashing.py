@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from screenwell.llm.store import worker_state
@@ -45,8 +47,9 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start], 1) ^ mix((end - start).astype(np.uint64), 2)
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of ``texts``, in order, and the number of words before each text.
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word of ``texts``, in order, the number of words before each text, and where
+    each word starts in the texts joined by one byte.
 
     Words are runs without bytes 9 to 13 and 32.
     """
@@ -57,18 +60,17 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = edge[::2], edge[1::2]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     bounds = np.concatenate([[0], np.cumsum(lengths)])
-    return spans(prefix(data), start, end), np.searchsorted(start, bounds)
+    return spans(prefix(data), start, end), np.searchsorted(start, bounds), start
 
 
-def pieces(column, limit: int = 1 << 20):
-    """Runs of rows of an Arrow string column as (first row, list of bytes), each about ``limit`` bytes."""
-    first, size, held = 0, 0, []
-    for i, value in enumerate(column.cast("large_binary")):
-        value = value.as_py() or b""
+def parts(texts: list, limit: int = 1 << 19) -> Iterator[list]:
+    """Consecutive runs of ``texts`` of about ``limit`` bytes or one text."""
+    held, size = [], 0
+    for value in texts:
         if held and size + len(value) > limit:
-            yield first, held
-            first, size, held = i, 0, []
+            yield held
+            held, size = [], 0
         held.append(value)
         size += len(value)
     if held:
-        yield first, held
+        yield held

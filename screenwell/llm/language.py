@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from screenwell.llm.hashing import parts
 from screenwell.llm.store import Scratch
 
 BUCKETS = 1 << 14
@@ -167,17 +168,6 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(score, schema)
 
 
-def parts(texts: list[str], limit: int = 1 << 19) -> Iterator[list[str]]:
-    held, size = [], 0
-    for value in texts:
-        if held and size + len(value) > limit:
-            yield held
-            held, size = [], 0
-        held.append(value)
-        size += len(value)
-    if held:
-        yield held
-
 
 def held_out(key: str = "doc_id", modulus: int = 4, rest: int = 2):
     """True for the fold that nothing is learnt from; false for a null key."""

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, language, warc
+from screenwell.llm import bpe_tree, language, quality, warc
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
+@query("op1_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query("op8_language_identification")
 def language_identification(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
