@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, language, quality, warc
+from screenwell.llm import bpe_tree, decontaminate, language, privacy, quality, warc
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from screenwell.llm.store import Scratch
 
 
 @query("op1_quality_classifier")
@@ -16,6 +17,34 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query("op3_benchmark_decontamination", """
+    WITH words AS (
+        SELECT 'd' AS side, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    w AS (SELECT side, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+              '[^\\p{L}\\p{N}]+'), x -> x <> '') AS w FROM words),
+    s AS (SELECT DISTINCT side, id, unnest(CASE WHEN len(w) >= 5
+              THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))
+              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+    n AS (SELECT id, count(*) AS n FROM s WHERE side = 'b' GROUP BY id)
+    SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, n.n AS n_item,
+           count(*) / n.n AS containment
+    FROM s d JOIN s b ON d.s = b.s AND d.side = 'd' AND b.side = 'b' JOIN n ON n.id = b.id
+    GROUP BY d.id, b.id, n.n HAVING count(*) * 10 >= n.n * 8""")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    found = decontaminate.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+                                    scratch=scratch)
+    return scratch.finish(found.groupBy("doc_id", "item_id").agg(
+        F.max("n_shared").alias("n_shared"), F.max_by("n_item", "n_shared").alias("n_item"),
+        F.max("containment").alias("containment")))
+
+
+@query("op6_information_theoretic_privacy")
+def information_theoretic_privacy(spark: SparkSession, folder: str) -> DataFrame:
+    return privacy.report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op8_language_identification")
 def language_identification(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
