@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, decontaminate, language, privacy, quality, warc
+from screenwell.llm import bpe_tree, decontaminate, jaccard, language, privacy, quality, warc
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -17,6 +17,11 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query("op2_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op3_benchmark_decontamination", """
     WITH words AS (
         SELECT 'd' AS side, doc_id AS id, text FROM documents
