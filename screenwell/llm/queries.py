@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, decontaminate, jaccard, language, privacy, quality, warc
+from screenwell.llm import bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, warc
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -45,6 +45,23 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.max("containment").alias("containment")))
 
 
+@query("op4_embedding_near_dedup", """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND list_sum(list_transform(embedding, x -> x * x)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+          ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+    c AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+    n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+    SELECT c.a AS vec_id, coalesce(n.n, 0) AS n_links, c.b AS component_id, c.a = c.b AS kept
+    FROM c LEFT JOIN n ON n.a = c.a""")
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op6_information_theoretic_privacy")
 def information_theoretic_privacy(spark: SparkSession, folder: str) -> DataFrame:
     return privacy.report(table(spark, folder, "documents").select("doc_id", "text"))
