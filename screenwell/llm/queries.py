@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, warc
+from screenwell.llm import bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -62,6 +62,11 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+@query("op5_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op6_information_theoretic_privacy")
 def information_theoretic_privacy(spark: SparkSession, folder: str) -> DataFrame:
     return privacy.report(table(spark, folder, "documents").select("doc_id", "text"))

@@ -76,7 +76,7 @@ def repeats(rows, size=200):
         for k in range(len(b) - size + 1):
             if seen[b[k:k + size]] > 1:
                 gone[k:k + size] = b"\1" * size
-        spans = len(re.findall(rb"\1+", bytes(gone)))
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
         kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
         out[i] = (len(b), sum(gone), spans, sha(kept))
     return out
