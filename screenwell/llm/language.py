@@ -132,14 +132,14 @@ def decide(model: dict, margins: np.ndarray) -> tuple[list[str], np.ndarray]:
     return out, score
 
 
-def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus lang_pred and score, from the whole text alone.
+def identify(docs: DataFrame, model: dict, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs`` plus two ``names``, language and score, from the whole text alone.
 
     ``und`` with score 0 for a null text, one without a letter, or a model that has seen nothing.
-    Columns of ``docs`` that are named lang_pred or score are replaced.
+    Columns of ``docs`` that have these names are replaced.
     """
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    kept = [f for f in docs.schema.fields if f.name not in names]
+    schema = StructType([*kept, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
 
     def score(batches):
         import pyarrow as pa
@@ -163,7 +163,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 scores += [float(x) if ok else 0.0 for x, ok in zip(s, letter, strict=True)]
             own = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             yield pa.RecordBatch.from_arrays([*own, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                                             [*(f.name for f in kept), "lang_pred", "score"])
+                                             [*(f.name for f in kept), *names])
 
     return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(score, schema)
 
@@ -175,10 +175,10 @@ def held_out(key: str = "doc_id", modulus: int = 4, rest: int = 2):
     return F.coalesce(F.pmod(code, F.lit(modulus)) == rest, F.lit(False))
 
 
-def learn_and_identify(docs: DataFrame, per_language: int = 800) -> DataFrame:
+def learn_and_identify(docs: DataFrame, per_language: int = 800, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Fit on the rows outside the held-out fold, then identify every row.
 
     Rows with a null doc_id are identified but not learnt from. See ``identify`` for odd texts.
     """
     learning = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id", "lang", "text")
-    return identify(docs, fit(learning, per_language))
+    return identify(docs, fit(learning, per_language), names=names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc
+from screenwell.llm import bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, wrappers
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -72,6 +72,11 @@ def information_theoretic_privacy(spark: SparkSession, folder: str) -> DataFrame
     return privacy.report(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op7_wrapper_induction")
+def wrapper_induction(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, folder, "pages"))
+
+
 @query("op8_language_identification")
 def language_identification(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
