@@ -164,7 +164,8 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
             out[name] = out[name].astype("Int64")
         return out
 
-    return archives.select("archive").repartition("archive").mapInPandas(read, RECORD)
+    # a number of its own: by size alone, all names would meet in one task
+    return archives.select("archive").repartition(max(1, archives.count()), "archive").mapInPandas(read, RECORD)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
