@@ -133,7 +133,7 @@ def permuted_prefixes(t: np.ndarray, order: np.ndarray) -> np.ndarray:
     before = np.full(len(t), -1)
     before[order[1:]] = order[:-1]
     position = np.arange(len(t))
-    whole = (before <= 0) | (position == 0) | (t[position - 1] != t[before - 1])
+    whole = (before <= 0) | (position == 0) | (t[position - 1] != t[np.maximum(before - 1, 0)])
     start = np.flatnonzero(whole & (before >= 0))
     other, length = before[start], np.zeros(len(start), np.int64)
     live = np.arange(len(start))
