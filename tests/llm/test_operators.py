@@ -176,7 +176,7 @@ def test_pages(spark):
              f"<section id=comments><p>no</p></section><form>f</form><footer>z") for i in range(6)]
     rows += [(7, None, None), (8, "http://h.com/8", ""), (9, "x", "<article><p>a<p>b</article><p>c")]
     got = {q.page_id: (q.text, q.n_chars) for q in wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got[2] == ("T 2\ntext 2 a < b x\ntail 2", 23) and got[7] == got[8] == ("", 0) and got[9] == ("a\nb", 3)
+    assert got[2] == ("T 2\ntext 2 a < b x\ntail 2", 25) and got[7] == got[8] == ("", 0) and got[9] == ("a\nb", 3)
 
 
 def test_archives(spark):
