@@ -99,7 +99,7 @@ def disclosing(held: DataFrame, docs: DataFrame, scratch: Scratch, support: int
         return None
     wanted = scratch.cut(terms.select("term").distinct())
     counts = (docs.select(F.explode_outer(F.array_distinct(terms_of(F.col(text)))).alias("term"))
-              .join(small(wanted), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+              .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(small(wanted), "term"))
     total = F.lit(float(max(2, docs.select(F.lit(1)).count())))
     bits = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
     whole = F.log2(total / F.col("n_entity"))
