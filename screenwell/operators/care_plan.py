@@ -22,10 +22,10 @@ def rule_suggestions() -> Column:
     return F.when(F.size(picked) > 0, picked).otherwise(F.array(F.lit(SUGGEST_ROUTINE)))
 
 
-def parse_suggestions(reply: Column, cap_lines: int = 5, cap_json: int | None = None) -> Column:
+def parse_suggestions(reply: Column, cap_lines: int | None = None, cap_json: int | None = None) -> Column:
     """Suggestions in a reply: the first JSON array, else the lines with the prefix.
 
-    The cap applies to lines; ``cap_json`` sets one for arrays too.
+    ``cap_lines`` keeps the first lines only, ``cap_json`` the first of an array; both off by default.
     """
     reply = strip_blank(reply)
     prefixed = lambda s: s.startswith(SUGGESTION_PREFIX)
@@ -35,37 +35,44 @@ def parse_suggestions(reply: Column, cap_lines: int = 5, cap_json: int | None =
         from_json = F.slice(from_json, 1, cap_json)
     lines = F.transform(F.split(reply, "\n"), lambda s: F.regexp_replace(
         s, f"{UNICODE}^\\s+|\\s+$", ""))
-    return F.coalesce(from_json, F.slice(F.filter(lines, prefixed), 1, cap_lines))
+    from_lines = F.filter(lines, prefixed)
+    return F.coalesce(from_json, F.slice(from_lines, 1, cap_lines) if cap_lines else from_lines)
 
 
-def add_care_plan(df: DataFrame, reply: str | None = None) -> DataFrame:
+def add_care_plan(df: DataFrame, reply: str | None = None,
+                  cap_lines: int | None = None) -> DataFrame:
     """Suggestions by rule; where a reply is present, those of the reply."""
     if reply is None:
         return df.withColumn("care_plan_suggestions", rule_suggestions())
     text = F.col(reply)
     return df.withColumn("care_plan_suggestions", F.when(
-        text.isNotNull(), parse_suggestions(text)).otherwise(rule_suggestions()))
+        text.isNotNull(), parse_suggestions(text, cap_lines)).otherwise(rule_suggestions()))
 
 
 def _py_bool(flag: Column) -> Column:
     return F.when(flag, "True").otherwise("False")
 
 
-def plan_context(df: DataFrame, context: str = "dsm_context") -> DataFrame:
-    """Record text shown to a plan writer; the retrieved context is cut at 800 characters."""
+def _cut(text: Column, max_chars: int | None) -> Column:
+    return text if max_chars is None else F.substring(text, 1, max_chars)
+
+
+def plan_context(df: DataFrame, context: str = "dsm_context",
+                 max_chars: int | None = None) -> DataFrame:
+    """Record text shown to a plan writer; ``max_chars`` cuts the retrieved context."""
     text = F.concat(
         F.lit("PHQ-9 total: "), F.col("phq9_total").cast("string"),
         F.lit(" ("), F.col("phq9_band"), F.lit(")\nGAD-7 total: "),
         F.col("gad7_total").cast("string"), F.lit(" ("), F.col("gad7_band"),
         F.lit(")\nSuicidal ideation positive: "), _py_bool(F.col("suicidal_ideation_positive")),
         F.lit("\nActive symptoms: "), F.array_join("active_symptoms", ", "),
-        F.lit("\nDSM context: "), F.substring(F.col(context), 1, 800),
+        F.lit("\nDSM context: "), _cut(F.col(context), max_chars),
         F.lit("\nCitations: "), F.size("citations").cast("string"), F.lit(" retrieved\n"))
     return df.withColumn("plan_context", text)
 
 
-def verifier_context(df: DataFrame) -> DataFrame:
-    """Record and plan summaries shown to a verifier; the narrative is cut at 400 characters."""
+def verifier_context(df: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Record and plan summaries shown to a verifier; ``max_chars`` cuts the narrative."""
     none_if_empty = lambda c, word: F.when(
         F.size(c) > 0, F.array_join(c, ", ")).otherwise(word)
     record = F.concat(
@@ -75,7 +82,8 @@ def verifier_context(df: DataFrame) -> DataFrame:
         F.lit("\nSuicidal ideation (MentalBERT): "),
         F.format_string("%.2f", F.col("suicidal_ideation_prob")),
         F.lit("\nSuicidal ideation (PHQ-9 item 9): "), F.col(IDEATION_ITEM).cast("string"),
-        F.lit("\nNarrative (first 400 chars): "), F.substring("narrative", 1, 400))
+        F.lit("\nNarrative: " if max_chars is None else f"\nNarrative (first {max_chars} chars): "),
+        _cut(F.col("narrative"), max_chars))
     listed = F.array_join(F.transform("care_plan_suggestions",
                                       lambda s: F.concat(F.lit("  - "), s)), "\n")
     plan = F.concat(F.lit("DSM differential: "), none_if_empty("dsm_differential", "not specified"),

@@ -67,14 +67,16 @@ def column_sizes(counts: DataFrame) -> DataFrame:
 def curve_distances(counts: DataFrame) -> DataFrame:
     """Normalised Wasserstein distance and Kolmogorov-Smirnov statistic per numeric column."""
     run = running_sums(counts, ["column"], "value", ["n_ref", "n_cur"], stored=True)
-    ref = (F.col("before_n_ref") + F.col("n_ref")) / F.col("total_n_ref")
-    cur = (F.col("before_n_cur") + F.col("n_cur")) / F.col("total_n_cur")
+    # A side without any value has an empty curve.
+    ref = F.coalesce(F.try_divide(F.col("before_n_ref") + F.col("n_ref"), F.col("total_n_ref")), F.lit(0.0))
+    cur = F.coalesce(F.try_divide(F.col("before_n_cur") + F.col("n_cur"), F.col("total_n_cur")), F.lit(0.0))
     gap = F.abs(ref - cur)
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     # One row per column on the broadcast side.
     means = counts.groupBy("column").agg(
-        (F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("_mean"))
-    spread = F.sum(F.col("n_ref") * F.pow(F.col("value") - F.col("_mean"), 2)) / F.sum("n_ref")
+        F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("_mean"))
+    spread = F.try_divide(F.sum(F.col("n_ref") * F.pow(F.col("value") - F.col("_mean"), 2)),
+                          F.sum("n_ref"))
     return run.join(F.broadcast(means), "column").groupBy("column").agg(
         F.sum(gap * step).alias("_area"), F.max(gap).alias("ks"),
         F.greatest(F.sqrt(spread), F.lit(0.001)).alias("_sd")).select(
@@ -85,21 +87,22 @@ def share_distances(counts: DataFrame) -> DataFrame:
     """Jensen-Shannon distance (base 2), chi-square and two-proportion z per column."""
     sizes = column_sizes(counts)
     joined = counts.join(F.broadcast(sizes), "column")
-    p = F.col("n_ref") / F.col("rows_ref")
-    q = F.col("n_cur") / F.col("rows_cur")
+    p = F.coalesce(F.try_divide("n_ref", "rows_ref"), F.lit(0.0))
+    q = F.coalesce(F.try_divide("n_cur", "rows_cur"), F.lit(0.0))
     m = (p + q) / 2
     part = lambda a: F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
-    expected = F.col("n_ref") * F.col("rows_cur") / F.col("rows_ref")
+    expected = F.try_divide(F.col("n_ref") * F.col("rows_cur"), F.col("rows_ref"))
     miss = F.try_divide(F.pow(F.col("n_cur") - expected, 2), expected)
     unseen = F.count_if((F.col("n_ref") == 0) & (F.col("n_cur") > 0))
     first = F.min_by(F.struct("n_ref", "n_cur"), "value")
     out = joined.groupBy("column", "rows_ref", "rows_cur", "values_ref", "values_all").agg(
         F.sum(part(p) + part(q)).alias("_js"), F.sum(miss).alias("_chi"),
         unseen.alias("_unseen"), first.alias("_first"))
-    p1 = F.col("_first.n_ref") / F.col("rows_ref")
-    p2 = F.col("_first.n_cur") / F.col("rows_cur")
+    p1 = F.coalesce(F.try_divide(F.col("_first.n_ref"), F.col("rows_ref")), F.lit(0.0))
+    p2 = F.coalesce(F.try_divide(F.col("_first.n_cur"), F.col("rows_cur")), F.lit(0.0))
     pooled = (F.col("_first.n_ref") + F.col("_first.n_cur")) / (F.col("rows_ref") + F.col("rows_cur"))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("rows_ref") + 1 / F.col("rows_cur")))
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("rows_ref"))
+                                            + F.try_divide(F.lit(1), F.col("rows_cur"))))
     return out.select(
         "column", "rows_ref", "rows_cur", "values_ref", "values_all",
         F.sqrt(F.greatest(F.col("_js") / 2, F.lit(0.0))).alias("jensen_shannon"),

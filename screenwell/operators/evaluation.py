@@ -159,9 +159,9 @@ def multilabel_metrics(df: DataFrame, labels: list[str], truth: str = "labels",
 
 
 def fairness_slices(df: DataFrame, y: str = "y", p: str = "prediction",
-                    slices: dict[str, Column] | None = None, min_rows: int = 10,
+                    slices: dict[str, Column] | None = None, min_rows: int = 0,
                     values: dict[str, list[str]] | None = None) -> DataFrame:
-    """Weighted F1 and quadratic kappa per subgroup; small subgroups are left out.
+    """Weighted F1 and quadratic kappa per subgroup of at least ``min_rows`` rows.
 
     Rows are first counted per (all slice values, truth, prediction); the slices are taken from
     those counts, so the table is read once and never multiplied.

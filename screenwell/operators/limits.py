@@ -23,7 +23,7 @@ def trailing_requests(df: DataFrame, key: str, time: str, limit: int = 10, windo
 
     Each key's time line is cut into blocks; rows of the last ``window`` seconds of a block are
     also sent to the next one as context. A key that holds much of the table is thus spread over
-    its blocks instead of being sorted in one task.
+    its blocks instead of being sorted in one task. A row without a time stays, both columns NULL.
     """
     span, width = window * MICROS, (block or window * 10) * MICROS
     if width < span:
@@ -34,8 +34,8 @@ def trailing_requests(df: DataFrame, key: str, time: str, limit: int = 10, windo
     targets = F.when(late, F.array(home, home + 1)).otherwise(F.array(home))
     spread = df.withColumns({"_at": at, "_home": home}).withColumn("_block", F.explode(targets))
     w = Window.partitionBy(key, "_block").orderBy("_at").rangeBetween(-span + 1, 0)
-    counted = spread.withColumn("recent", F.count("*").over(w) - 1)
-    own = counted.filter(F.col("_block") == F.col("_home"))
+    counted = spread.withColumn("recent", F.when(F.col("_at").isNotNull(), F.count("*").over(w) - 1))
+    own = counted.filter(F.col("_block").eqNullSafe(F.col("_home")))
     return own.drop("_at", "_home", "_block").withColumn("over_limit", F.col("recent") >= limit)
 
 

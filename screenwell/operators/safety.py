@@ -48,14 +48,16 @@ def parse_verifier(reply: Column) -> Column:
     No recommendation means routine, an unknown one means monitor.
     """
     found = first_json(strip_blank(reply), "{", "}")
-    parsed = F.from_json(found, "flags array<string>, verdict_recommendation string, _bad string",
+    # Each field is read alone: flags of another shape leave the recommendation readable.
+    parsed = F.from_json(found, "verdict_recommendation string, _bad string",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    flags = F.from_json(F.get_json_object(found, "$.flags"), "array<string>")
     given = F.array_contains(F.json_object_keys(found), "verdict_recommendation")
     rec = F.when(given, F.coalesce(parsed["verdict_recommendation"], F.lit("null"))
                  ).otherwise("routine")
     ok = found.isNotNull() & parsed["_bad"].isNull()
     return F.when(ok, F.struct(
-        F.coalesce(parsed["flags"], F.expr(NO_FLAGS)).alias("flags"),
+        F.coalesce(flags, F.expr(NO_FLAGS)).alias("flags"),
         F.when(rec.isin(*VERDICTS), rec).otherwise("monitor").alias("recommendation")))
 
 

@@ -90,10 +90,11 @@ def join_model_scores(df: DataFrame, scores: DataFrame, key: str = "record_id")
     return df.join(renamed, key, "left")
 
 
-def literature_query(df: DataFrame) -> DataFrame:
-    """Query text from bands, ideation flag and the first three active symptoms."""
+def literature_query(df: DataFrame, max_symptoms: int | None = None) -> DataFrame:
+    """Query text from bands, ideation flag and active symptoms (the first ``max_symptoms``)."""
     phq, gad = F.col("phq9_band"), F.col("gad7_band")
-    symptoms = F.array_join(F.slice("active_symptoms", 1, 3), " ")
+    active = F.col("active_symptoms")
+    symptoms = F.array_join(F.slice(active, 1, max_symptoms) if max_symptoms else active, " ")
     text = F.concat_ws(
         " ",
         F.when(phq.isin(*RAISED_PHQ_BANDS), QUERY_DEPRESSION).when(phq == "mild", QUERY_MILD),
@@ -105,12 +106,12 @@ def literature_query(df: DataFrame) -> DataFrame:
 
 
 def item_contributions(df: DataFrame, weights: list[tuple] = ITEM_WEIGHTS,
-                       top: int = 6) -> DataFrame:
-    """Weighted share of each item, the largest first, ties by name descending."""
+                       top: int | None = None) -> DataFrame:
+    """Weighted share of each item (the ``top`` ones), the largest first, ties by name descending."""
     parts = [F.struct(F.round(F.coalesce(F.col(item), F.lit(0)) / F.lit(3.0) * F.lit(w), 3)
                       .alias("score"), F.lit(name).alias("name")) for item, name, w in weights]
-    return df.withColumn("contributions",
-                         F.slice(F.sort_array(F.array(*parts), asc=False), 1, top))
+    ranked = F.sort_array(F.array(*parts), asc=False)
+    return df.withColumn("contributions", F.slice(ranked, 1, top) if top else ranked)
 
 
 RESPONSE_COLUMNS = [

@@ -19,13 +19,14 @@ NO_CITATIONS = ("CAST(array() AS array<struct<source:string,pmid:string,disorder
                 "title:string,score:double>>)")
 
 
-def add_literature(df: DataFrame, index: Index | None = None, **options) -> DataFrame:
+def add_literature(df: DataFrame, index: Index | None = None,
+                   max_symptoms: int | None = None, **options) -> DataFrame:
     """Context, citations and differential for each record's query.
 
     Records share few distinct queries (they depend on bands, a flag and symptom names), so the
     search runs once per distinct query text and its small result goes to the records.
     """
-    df = literature_query(df)
+    df = literature_query(df, max_symptoms)
     if index is None:
         return df.withColumns({"dsm_context": F.lit(NO_INDEX_CONTEXT),
                                "citations": F.expr(NO_CITATIONS),

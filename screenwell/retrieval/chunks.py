@@ -42,10 +42,11 @@ def postings(chunks: DataFrame, text: str = "text") -> DataFrame:
     """
     listed = chunks.select("source", "chunk_id", words(F.col(text)).alias("_words"))
     size = F.size("_words").alias("dl")
-    exploded = listed.select("source", "chunk_id", "_words", size,
-                             F.explode(F.array_distinct("_words")).alias("term"))
-    tf = F.col("dl") - F.size(F.array_remove(F.col("_words"), F.col("term")))
-    return exploded.select("source", "chunk_id", "term", tf.alias("tf"), "dl")
+    # Counted before the explode, so that no output row carries the word list.
+    counted = F.transform(F.array_distinct("_words"), lambda w: F.struct(
+        w.alias("term"), (F.size("_words") - F.size(F.array_remove(F.col("_words"), w))).alias("tf")))
+    return listed.select("source", "chunk_id", F.inline(counted), size).select(
+        "source", "chunk_id", "term", "tf", "dl")
 
 
 def source_stats(chunks: DataFrame, post: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from screenwell.functions.text import words
 from screenwell.operators.sampling import top_per_group
 from screenwell.session import broadcast_checked, cut_lineage
 
-PREFIX = 80
 K_BM25, K_DENSE, K_FINAL = 20, 20, 5
 
 
@@ -30,13 +29,14 @@ def word_overlap(query: Column, text: Column) -> Column:
     return F.coalesce(F.try_divide(shared.cast("double"), F.size(q)), F.lit(0.0))
 
 
-def merge_hits(keyword: DataFrame, dense: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Union of both hit lists with chunk text; per (query, source) the first hit of each
-    80-character prefix stays, keyword hits before vector hits."""
+def merge_hits(keyword: DataFrame, dense: DataFrame, chunks: DataFrame,
+               prefix: int | None = None) -> DataFrame:
+    """Union of both hit lists with chunk text; per (query, source) the first hit of each text stays,
+    keyword hits before vector hits. With ``prefix``, texts that share so many characters are one."""
     tagged = cut_lineage(keyword.withColumn("origin", F.lit(0)).unionByName(
         dense.withColumn("origin", F.lit(1))))
     joined = chunks.join(broadcast_checked(tagged), ["source", "chunk_id"])
-    w = Window.partitionBy("query_id", "source", F.substring("text", 1, PREFIX)).orderBy(
+    w = Window.partitionBy("query_id", "source", F.md5("text") if prefix is None else F.substring("text", 1, prefix)).orderBy(
         "origin", "rank")
     return joined.withColumn("_first", F.row_number().over(w)).filter("_first = 1").drop("_first")
 

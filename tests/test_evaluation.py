@@ -69,11 +69,11 @@ def test_small_and_one_class_slices(spark):
     rows = ([(0, 0, "nine", 20)] * 9 + [(0, 0, "ten", 35)] * 9 + [(0, 1, "ten", 35)]
             + [(1, 1, "mixed", 70)] * 6 + [(0, 1, "mixed", 70)] * 6)
     df = spark.createDataFrame(rows, "y int, prediction int, gender string, age int")
-    got = {(r.slice_col, r.slice_val): r for r in ev.fairness_slices(df).collect()}
+    got = {(r.slice_col, r.slice_val): r for r in ev.fairness_slices(df, min_rows=10).collect()}
     assert ("gender", "nine") not in got and got["gender", "ten"].n == 10
     assert got["gender", "ten"].quadratic_kappa is None
     assert got["gender", "mixed"].quadratic_kappa is not None
-    listed = ev.fairness_slices(df, values={"gender": ["ten"], "age_band": ["60+"]})
+    listed = ev.fairness_slices(df, min_rows=10, values={"gender": ["ten"], "age_band": ["60+"]})
     assert listed.count() == 2
 
 

@@ -113,7 +113,7 @@ def test_prefix_copies_keep_the_keyword_hit(spark):
     hit = "query_id long, source string, chunk_id long, score double, rank int"
     keyword = spark.createDataFrame([(0, "a", 2, 1.0, 1)], hit)
     dense = spark.createDataFrame([(0, "a", 1, 0.9, 1), (0, "b", 3, 0.8, 1)], hit)
-    merged = merge_hits(keyword, dense, chunks)
+    merged = merge_hits(keyword, dense, chunks, prefix=80)
     assert sorted((r.source, r.chunk_id) for r in merged.collect()) == [("a", 2), ("b", 3)]
     assert fuse_ranks(merged).count() == 2
 

@@ -117,14 +117,14 @@ def test_plan_replies(spark):
                "[not json\nConsider: l1\n  Consider: l2 ", "[1, 2]",
                "\n".join(f"Consider: {i}" for i in range(8)), ""]
     df = spark.createDataFrame([(i, r) for i, r in enumerate(replies)], "id int, r string")
-    got = [r.s for r in df.select("id", parse_suggestions(F.col("r")).alias("s"))
+    got = [r.s for r in df.select("id", parse_suggestions(F.col("r"), cap_lines=5).alias("s"))
            .orderBy("id").collect()]
     assert got == [["Consider: a", "Consider: c"], ["Consider: a"],
                    ["Consider: l1", "Consider: l2"], [], [f"Consider: {i}" for i in range(5)], []]
 
 
 def test_contributions_order(spark):
-    row = item_contributions(records(spark, ["x"], phq1_anhedonia=3, phq2_low_mood=3)).first()
+    row = item_contributions(records(spark, ["x"], phq1_anhedonia=3, phq2_low_mood=3), top=6).first()
     top = [(c.name, c.score) for c in row.contributions]
     assert top[:2] == [("Low mood (Q2)", 1.0), ("Anhedonia (Q1)", 1.0)] and len(top) == 6
 

@@ -157,7 +157,7 @@ SLICED = f"""{A.PRED}, cf AS (
 SELECT slice_col, slice_val, n, round(weighted_f1, 6) AS weighted_f1,
   round(k, 6) AS quadratic_kappa FROM wf JOIN kap USING (slice_col, slice_val) WHERE n >= 10""")
 def _(spark, sf):
-    return rounded(ev.fairness_slices(A.predictions(spark, sf)), "weighted_f1", "quadratic_kappa")
+    return rounded(ev.fairness_slices(A.predictions(spark, sf), min_rows=10), "weighted_f1", "quadratic_kappa")
 
 
 @query("a15_s12_fairness_disparity", f"""WITH {SLICED}
@@ -168,7 +168,7 @@ def _(spark, sf):
     from screenwell.sources.files import write_csv
 
     path = A.fresh_folder(spark, "fairness")
-    slices = ev.fairness_slices(A.predictions(spark, sf))
+    slices = ev.fairness_slices(A.predictions(spark, sf), min_rows=10)
     write_csv(slices, path)
     back = spark.read.schema(slices.schema).option("header", True).csv(path)
     return ev.fairness_disparity(back)

@@ -289,7 +289,7 @@ SELECT record_id, CASE WHEN m IN (0, 1) THEN a || ' | Consider: b'
 def _(spark, sf):
     df = triage.stratify_risk(A.scored(spark, sf)).withColumn(
         "reply", plan_reply(F.col("record_id")))
-    return care_plan.add_care_plan(df, "reply").select("record_id", joined("care_plan_suggestions"))
+    return care_plan.add_care_plan(df, "reply", cap_lines=5).select("record_id", joined("care_plan_suggestions"))
 
 
 @query("t08_context_texts", f"""WITH {RISK}, pl AS (SELECT *, {PLAN} AS s FROM risk), p2 AS (
@@ -309,7 +309,7 @@ SELECT record_id,
     || array_to_string(list_transform(t, lambda x: '  - ' || x), chr(10)) AS plan_summary FROM p2""")
 def _(spark, sf):
     df = care_plan.add_care_plan(add_literature(triage.stratify_risk(A.scored(spark, sf))))
-    return care_plan.verifier_context(care_plan.plan_context(df)).select(
+    return care_plan.verifier_context(care_plan.plan_context(df, max_chars=800), max_chars=400).select(
         "record_id", "plan_context", "record_summary", "plan_summary")
 
 
@@ -375,7 +375,7 @@ CONTRIB = ", ".join(f"{{'s': round({item} / 3.0::DOUBLE * {w}::DOUBLE, 3), 'n':
 SELECT record_id, array_to_string(list_transform(top, lambda x: x.n), ' | ') AS names,
   list_sum(list_transform(top, lambda x: x.s)) ::DECIMAL(10, 3)::DOUBLE AS total FROM c""")
 def _(spark, sf):
-    out = triage.item_contributions(A.records(spark, sf))
+    out = triage.item_contributions(A.records(spark, sf), top=6)
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, x: acc + x["score"])
     return out.select("record_id", F.array_join(F.transform(
         "contributions", lambda x: x["name"]), " | ").alias("names"),
@@ -393,7 +393,7 @@ SELECT record_id, coalesce(nullif(t, ''), 'depression anxiety mental health') AS
 FROM q""")
 def _(spark, sf):
     df = triage.join_model_scores(A.scored(spark, sf), model_scores(spark, sf))
-    return triage.literature_query(triage.stratify_risk(df)).select("record_id", "query_text")
+    return triage.literature_query(triage.stratify_risk(df), max_symptoms=3).select("record_id", "query_text")
 
 
 # --- validation and defaults -------------------------------------------------------------------

@@ -122,7 +122,7 @@ def _(spark, sf):
     index, queries = corpus_index(spark, sf), A.search_queries(spark, sf)
     keyword = bm25.bm25_top(index.postings, index.term_stats, bm25.query_terms(queries))
     near = dense.dense_top(index.vectors, dense.embed(queries, "query_text"))
-    return hybrid.merge_hits(keyword, near, index.chunks).select(
+    return hybrid.merge_hits(keyword, near, index.chunks, prefix=80).select(
         "query_id", "source", "chunk_id", "origin", "rank", "score")
 
 
