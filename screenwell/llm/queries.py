@@ -27,9 +27,9 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         SELECT 'd' AS side, doc_id AS id, text FROM documents
         UNION ALL SELECT 'b', item_id, text FROM benchmark),
     w AS (SELECT side, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
-              '[^\\p{L}\\p{N}]+'), x -> x <> '') AS w FROM words),
+              '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM words),
     s AS (SELECT DISTINCT side, id, unnest(CASE WHEN len(w) >= 5
-              THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))
+              THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
     n AS (SELECT id, count(*) AS n FROM s WHERE side = 'b' GROUP BY id)
     SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, n.n AS n_item,
@@ -48,7 +48,7 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_embedding_near_dedup", """
     WITH RECURSIVE v AS (
         SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-        WHERE label IS NOT NULL AND list_sum(list_transform(embedding, x -> x * x)) > 0),
+        WHERE label IS NOT NULL AND list_sum(list_transform(embedding, lambda x: x * x)) > 0),
     l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
           ON a.label = b.label AND a.vec_id <> b.vec_id
           WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
