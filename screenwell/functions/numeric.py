@@ -56,18 +56,19 @@ def log_gamma_half(twice: Column) -> Column:
 def chi_square_tail(statistic: Column, freedom: Column) -> Column:
     """Upper tail of the chi-square distribution through the incomplete-gamma series."""
     half, x = freedom.cast("double") / 2, statistic / 2
-    # Terms rise until n ~ x and fall geometrically after that.
-    count = F.least(F.ceil(x * 2 + 200), F.lit(20000)).cast("int")
+    far = x > half + 12.0 * F.sqrt(half + 1.0) + 330.0
+    # Terms rise until half + n ~ x; nine deviations later the rest is below 1e-16 of the sum.
+    near = F.when(far, F.lit(0.0)).otherwise(x)
+    count = F.ceil(F.greatest(near - half, F.lit(0.0)) + 9 * F.sqrt(F.greatest(near, F.lit(0.0))) + 200)
     state = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
     def step(acc, n):
         term = acc["term"] * x / (half + n)
         return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
-    total = F.aggregate(F.sequence(F.lit(1), count), state, step, lambda acc: acc["total"])
+    total = F.aggregate(F.sequence(F.lit(1), count.cast("int")), state, step, lambda acc: acc["total"])
     log_head = half * F.ln(x) - x - (log_gamma_half(freedom) + F.ln(half))
     lower = F.exp(log_head + F.ln(total))
-    far = x > half + 12.0 * F.sqrt(half + 1.0) + 330.0
     return (F.when(statistic.isNull(), F.lit(None).cast("double"))
             .when(statistic <= 0, F.lit(1.0)).when(far, F.lit(0.0))
             .otherwise(clip(1.0 - lower, 0.0, 1.0)))

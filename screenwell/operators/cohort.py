@@ -49,13 +49,19 @@ def first_copy(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     """One row per key: the smallest by ``order``, then by the other columns.
 
     The minimum is taken before the shuffle too, so a key with many copies reaches its reducer
-    as one row per task.
+    as one row per task. Map columns, which have no order, are compared as JSON.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
-    placed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *rest)
-    kept = df.groupBy(*keys).agg(F.min(placed).alias("_row"))
+    ranked = [o.alias(f"_o{i}") for i, o in enumerate(order)]
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    if maps:
+        by = F.struct(*ranked, *[F.to_json(F.struct(c)) if c in maps else F.col(c) for c in rest])
+        first = F.min_by(F.struct(*rest), by)
+    else:
+        first = F.min(F.struct(*ranked, *rest))
+    kept = df.groupBy(*keys).agg(first.alias("_row"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
                          for c in df.columns])
 

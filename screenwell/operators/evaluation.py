@@ -110,6 +110,12 @@ def binary_metrics(df: DataFrame, y: str, score: str, threshold: float = 0.4) ->
                          ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
+def recall_check(metrics: DataFrame, target: float = 0.90) -> DataFrame:
+    """Add ``target_recall`` and ``meets_target``; without positives the latter is NULL."""
+    return metrics.withColumns({"target_recall": F.lit(target),
+                                "meets_target": F.col("recall") >= target})
+
+
 def ordinal_error(df: DataFrame, y: str = "y", p: str = "prediction") -> DataFrame:
     """Mean absolute error after rounding half to even and clipping to 0 .. largest class."""
     counts = df.groupBy(F.col(y).alias("y"), F.rint(p).cast("long").alias("p")).agg(

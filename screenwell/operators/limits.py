@@ -71,10 +71,12 @@ def admitted_requests(df: DataFrame, key: str, time: str, order: str, limit: int
     most ``limit`` times kept, so memory does not grow with a session. A session without any
     pause depends on its own past at every step and is read by one task from start to end; on
     logs where that is too long use the streaming form, which carries the same state from one
-    micro-batch to the next. ``order`` must be unique and ``key`` not NULL.
+    micro-batch to the next. ``order`` must be unique. A request without a key or a time cannot be
+    judged: its ``admitted`` is NULL, and it counts against none.
     """
     span = window * MICROS
-    timed = df.withColumn("_at", micros(time))
+    whole = F.col(key).isNotNull() & F.col(time).isNotNull()
+    timed = df.filter(whole).withColumn("_at", micros(time))
     pairs = timed.groupBy(key, "_at").agg(F.count("*").alias("_n")).withColumn(
         "_slot", F.floor(F.col("_at") / F.lit(span)).cast("long"))
     # Two requests of one slot are closer than the window: a pause lies between slots only.
@@ -107,4 +109,4 @@ def admitted_requests(df: DataFrame, key: str, time: str, order: str, limit: int
         free.filter(F.col("_free") > 0), [key, "_at"]).filter(F.col("_place") <= F.col("_free"))
     marked = winners.select(order, F.lit(True).alias("admitted"))
     return df.join(marked, order, "left").withColumn(
-        "admitted", F.coalesce("admitted", F.lit(False)))
+        "admitted", F.when(whole, F.coalesce("admitted", F.lit(False))))

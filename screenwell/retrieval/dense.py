@@ -114,7 +114,7 @@ def dense_top(vectors: DataFrame, queries: DataFrame, k: int = 20,
     id_type = queries.schema["query_id"].dataType
     wanted = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector"))
     parts = [wanted]
-    if not fits(wanted, block):
+    if not fits(wanted.select("query_id"), block):
         n = -(-2 * wanted.count() // block)
         share = F.pmod(F.xxhash64("query_id"), F.lit(n))
         parts = [wanted.filter(share == i) for i in range(n)]

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -36,13 +36,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes.
+
+    Rows and bytes are summed in the tasks, so that each passes on one row, whatever its size.
+    """
+    size = F.lit(0)
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind.startswith(("array", "map", "struct")):
+            column = F.to_json(F.struct(column))
+        wide = kind in ("string", "binary") or kind.startswith(("array", "map", "struct"))
+        size = size + (F.coalesce(F.octet_length(column), F.lit(0)) if wide else F.lit(8))
+    rows, held = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return rows <= max_rows and (held or 0) <= max_bytes
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count has been checked; otherwise a shuffle join."""
+    """Broadcast hint only when rows and bytes have been checked; otherwise a shuffle join."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
