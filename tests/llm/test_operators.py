@@ -254,3 +254,22 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     spark.createDataFrame([(1, "secret item one two three four five six")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r.doc_id for r in out.collect()) == list(range(30))
+
+
+def test_pipeline_links_near_copies_by_five_words(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(8)
+    rows = []
+    for k in range(12):
+        words = [f"w{r.randrange(10 ** 6)}" for _ in range(52)]
+        inner, last = list(words), list(words)
+        inner[20 + k] = "changed"
+        last[-2 - k % 3] = "other"
+        rows += [(10 * k + i, " ".join(w)) for i, w in enumerate([words, inner, last, words[:26] + last[30:]])]
+    sets = {i: brute.shingles(t, 5) for i, t in rows}
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    assert sum(0.8 <= s < 0.9 for s in share.values()) >= 12
+    component = brute.components(sets, [p for p, s in share.items() if s >= 0.8])
+    kept = corpus_pipeline.one_per_group(spark, table(spark, rows), str(tmp_path)).collect()
+    assert sorted(q.doc_id for q in kept) == sorted({component[i] for i in sets})
