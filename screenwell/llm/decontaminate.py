@@ -35,12 +35,13 @@ def items_of(benchmark: DataFrame, share: float) -> DataFrame:
 
     Items are partitioned by size, each twice as wide as the last. An item that is contained by
     ``share`` lacks at most size - ceil(share * size) shingles, so of one more than the largest such
-    number in its partition at least one must be in the document.
+    number in its partition at least one must be in the document. That number is computed as in the
+    check of ``contained``, with the same 1e-9 for shares that floating point does not hold.
     """
     rows = shingled(benchmark.select("item_id", "text"), joined).withColumn("own", F.array_distinct("own"))
     rows = rows.where(F.size("own") > 0).distinct().withColumn("item", F.xxhash64("item_id", "own"))
     top = F.lit(2).cast("double") ** (F.floor(F.log2(F.size("own"))) + 1) - 1
-    return rows.withColumn("probes", F.floor(top * (1 - share)) + 1)
+    return rows.withColumn("probes", top - F.ceil(top * share - 1e-9) + 1)
 
 
 def sketch(items: DataFrame) -> DataFrame:

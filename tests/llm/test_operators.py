@@ -5,6 +5,7 @@ import struct
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from screenwell.llm import (
     bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, suffixes, warc, wrappers,
@@ -103,6 +104,18 @@ def test_items_are_never_missed(spark):
     assert got == {(d, i) for d, t in docs for i, u in items if len(shingles(t) & shingles(u)) >= 0.8 * len(shingles(u)) - 1e-9}
 
 
+@pytest.mark.parametrize("size", [15, 255])
+def test_items_without_their_probes_are_found(spark, size):
+    item = [f"p{k}" for k in range(size + 4)]
+    windows = [" ".join(item[k:k + 5]) for k in range(size)]
+    found = spark.createDataFrame([(w,) for w in windows], "w string")
+    order = [q.w for q in found.orderBy(F.xxhash64(F.lit(11), "w")).collect()]
+    kept = order[size // 5:]
+    doc = " ".join(f"{w} gap{k}" for k, w in enumerate(kept))
+    got = decontaminate.contained(table(spark, [(1, doc)]), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    assert [(q.doc_id, q.item_id, q.n_shared, q.n_item) for q in got.collect()] == [(1, 7, len(kept), size)]
+
+
 def test_links_of_embeddings(spark):
     r = np.random.default_rng(1)
     base = r.normal(size=(60, 16))
