@@ -21,7 +21,7 @@ NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 TERM = "term"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
-REACH, SUPPORT, THRESHOLD = 64, 3, 0.8
+SUPPORT, THRESHOLD = 3, 0.8
 
 
 def luhn(digits: Column) -> Column:
@@ -80,33 +80,73 @@ def disclosing(held: DataFrame, docs: DataFrame, scratch: Scratch, support: int
                threshold: float = THRESHOLD, text: str = "text") -> DataFrame | None:
     """(entity, term) of terms that reveal a protected entity, None when there are none.
 
-    With N texts, n(e) those with entity e, n(t) those with term t and n(e, t) the different
-    contexts of e that hold t, the term discloses log2(n(e, t) N / (n(e) n(t))) bits of the
-    log2(N / n(e)) that the entity's identity has. It counts when that share reaches ``threshold``.
-    ``support`` different contexts are asked for: copies of one text say nothing about a term.
+    All counts are of different texts, copies dropped: N texts, n(e) with entity e, n(t) with term t
+    anywhere outside personal data, n(e, t) with both. The term discloses
+    log2(n(e, t) N / (n(e) n(t))) bits of the log2(N / n(e)) that the entity's identity has. It counts
+    when that share reaches ``threshold`` and ``support`` different texts hold both.
+
+    As n(e, t) <= n(e), only terms with n(t) <= N (n(e) / N) ** threshold can count; others are left
+    out before they meet the entities of a text.
     """
-    span = F.col("span")
-    near = F.concat_ws(" ", F.substr("text", F.greatest(span["start"] + 1 - REACH, F.lit(1)), F.least(span["start"], F.lit(REACH))),
-                       F.substr("text", span["end"] + 1, F.lit(REACH)))
-    contexts = (held.select(F.explode("_base").alias("span"), "text")
-                .select(F.concat(span["kind"], F.lit(":"), F.lower(span["value"])).alias("entity"), near.alias("near")).distinct())
-    often = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
-    terms = (contexts.join(often, "entity")
-             .select("entity", "n_entity", F.explode(F.array_distinct(terms_of(F.col("near")))).alias("term"))
-             .groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support))
-    terms = scratch.cut(terms)
-    if terms.isEmpty():
+    own = scratch.cut(held.dropDuplicates(["text_key"]).select(
+        "text_key", F.array_distinct(F.transform("_base", entity_of)).alias("entities"),
+        F.array_distinct(terms_of(outside(F.col("text"), F.col("_base")))).alias("terms"),
+        F.array_distinct(terms_of(F.col("text"))).alias("all_terms")))
+    often = scratch.cut(own.select("text_key", F.explode("entities").alias("entity")).groupBy("entity")
+                        .agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support))
+    if often.isEmpty():
+        return None
+    once = different(docs.select(F.col(text).alias("text")), scratch)
+    total = float(max(2, once.select(F.lit(1)).count()))
+
+    def most(n: Column) -> Column:
+        return total * F.pow(n / total, F.lit(threshold)) * (1 + 1e-9)
+
+    top = often.where(F.col("n_entity") < total).agg(F.max("n_entity")).first()[0]
+    if top is None:
         return None
-    wanted = scratch.cut(terms.select("term").distinct())
-    counts = (docs.select(F.explode_outer(F.array_distinct(terms_of(F.col(text)))).alias("term"))
-              .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(small(wanted), "term"))
-    total = F.lit(float(max(2, docs.select(F.lit(1)).count())))
+    # terms that stand in a text's personal data alone are taken off again
+    hidden = own.select(F.explode(F.array_except("all_terms", "terms")).alias("term"), F.lit(-1).alias("w"))
+    counts = (once.select(F.explode_outer(F.array_distinct(terms_of(F.col("text")))).alias("term"), F.lit(1).alias("w"))
+              .unionByName(hidden).groupBy("term").agg(F.sum("w").alias("n_term"))
+              .where((F.col("n_term") >= support) & (F.col("n_term") <= most(F.lit(top)))))
+    entities = (own.select("text_key", F.explode("entities").alias("entity")).join(small(often), "entity")
+                .groupBy("text_key").agg(F.collect_list(F.struct("entity", "n_entity")).alias("found")))
+    rows = (own.select("text_key", "terms").join(entities, "text_key").select("found", F.explode("terms").alias("term"))
+            .join(small(scratch.cut(counts)), "term").select(F.explode("found").alias("e"), "term", "n_term")
+            .select("e.entity", "e.n_entity", "term", "n_term").where(F.col("n_term") <= most(F.col("n_entity"))))
+    terms = rows.groupBy("entity", "n_entity", "term", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(
+        F.col("n_both") >= support)
     bits = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
     whole = F.log2(total / F.col("n_entity"))
-    found = scratch.cut(terms.join(counts, "term").where((whole > 0) & (bits >= threshold * whole)).select("entity", "term"))
+    found = scratch.cut(terms.where((whole > 0) & (bits >= threshold * whole)).select("entity", "term"))
     return None if found.isEmpty() else found
 
 
+def different(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Column text without nulls and copies; only texts that have copies are moved."""
+    rows = texts.where("text is not null").withColumn("h", F.xxhash64("text"))
+    copied = small(scratch.cut(rows.groupBy("h").count().where("count > 1").select("h")))
+    return rows.join(copied, "h", "left_anti").unionByName(
+        rows.join(copied, "h", "left_semi").dropDuplicates(["h"])).select("text")
+
+
+def entity_of(span: Column) -> Column:
+    return F.concat(span["kind"], F.lit(":"), F.lower(span["value"]))
+
+
+def outside(text: Column, spans: Column) -> Column:
+    """The text with a space in place of each span; spans may overlap."""
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def step(state: Column, s: Column) -> Column:
+        gap = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], F.array(gap)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(order, start, step, lambda s: F.concat_ws(" ", s["out"], F.substr(text, s["at"] + 1, F.length(text))))
+
+
 def terms_of(text: Column) -> Column:
     """Lower-cased words of four letters or more."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= 4)
@@ -114,10 +154,8 @@ def terms_of(text: Column) -> Column:
 
 def term_spans(held: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc_id, text_key, _terms): where disclosing terms stand in the texts that hold their entity."""
-    span = F.col("span")
-    entity = F.concat(span["kind"], F.lit(":"), F.lower(span["value"]))
     own = (held.select("doc_id", "text_key", F.explode("_base").alias("span"))
-           .select("doc_id", "text_key", entity.alias("entity")).distinct()
+           .select("doc_id", "text_key", entity_of(F.col("span")).alias("entity")).distinct()
            .join(pairs, "entity").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("term")).alias("terms")))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     rows = (held.dropDuplicates(["doc_id", "text_key"]).join(own.withColumnsRenamed({"doc_id": "_d", "text_key": "_k"}),

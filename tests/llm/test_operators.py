@@ -183,6 +183,18 @@ def test_disclosing_terms_are_found_near_their_entity_only(spark):
     assert clean[0] == "note 0 ask [term] at [email] about btem and more" and clean[12] == rows[7][1]
 
 
+def test_disclosing_terms_of_whole_and_copied_texts(spark):
+    far = "plain words that say nothing here " * 20
+    rows = [(i, f"no {i} Zebulon {far} ask boss@corp.com or {'bcdfg'[i]}tem") for i in range(5)]
+    rows += [(100 + i, rows[0][1]) for i in range(300)]
+    rows += [(1000 + i, f"{far} number {i} corp") for i in range(200)]
+    got = {q.doc_id: q.spans for q in privacy.report(table(spark, rows)).collect()}
+    at = rows[0][1].index("Zebulon")
+    for i in [*range(5), *range(100, 400)]:
+        assert [x for x in got[i].split(",") if x.startswith("term")] == [f"term:{at}:{at + 7}"]
+    assert all(got[1000 + i] == "" for i in range(200))
+
+
 def test_pages(spark):
     rows = [(i, f"http://h.com/{i}", f"<body><header><h1>Site</h1></header><div class='cookie-note'>c</div><div class=col><h2>T {i}</h2>"
              f"<p>text&nbsp;{i} a &lt; b<br>x<div class=x>Share this</div><p>tail <b>{i}<script>var t='</p>';</script></div>"
