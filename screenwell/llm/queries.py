@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, wrappers
+from screenwell.llm import bpe_tree, collocations, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, wrappers
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -99,3 +99,30 @@ def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_bpe_tree_concatenation")
 def bpe_tree_concatenation(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_tree.encode_documents(table(spark, folder, "documents"))
+
+
+@query("op13_phrase_collocations", """
+    WITH p AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+    g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS t(k))),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+    n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+    cut AS (SELECT c.lang, c.phrase, c.a, x, array_to_string(w[:x], ' ') AS one, array_to_string(w[x + 1:], ' ') AS two
+            FROM c, range(1, 4) AS t(x) WHERE x < k),
+    s AS (SELECT cut.lang, cut.phrase, a, o.f AS l, t.f AS r, 2000000::HUGEINT * a // (o.f + t.f) AS score
+          FROM cut JOIN f o ON o.lang = cut.lang AND o.phrase = one JOIN f t ON t.lang = cut.lang AND t.phrase = two
+          QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, x) = 1),
+    part AS (SELECT lang, a AS outer_a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+             FROM c, range(2, 4) AS t(m), range(1, 4) AS u(i) WHERE m < k AND i + m - 1 <= k),
+    gone AS (SELECT lang, phrase, max(outer_a) AS outer_a FROM part GROUP BY ALL)
+    SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+           s.phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM s JOIN n ON n.lang = s.lang LEFT JOIN gone ON gone.lang = s.lang AND gone.phrase = s.phrase
+    WHERE outer_a IS NULL OR 100::HUGEINT * outer_a < 80::HUGEINT * a QUALIFY rank <= 2000""")
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
