@@ -17,7 +17,7 @@ from screenwell.llm.hashing import LOWER, mix, parts, prefix, spans
 from screenwell.llm.store import Scratch
 
 THRESHOLD, LONGEST, TOP, INSIDE = 30, 4, 2000, 80
-PART_MASS, HELD, FILTER_BYTES = 1 << 21, 1 << 21, 64 << 20
+PART_MASS, HELD, ROWS, FILTER_BYTES = 1 << 21, 1 << 20, 512, 64 << 20
 # Bytes by class: 0 in a word, 1 between words, 2 between pieces.
 CLASSES = np.zeros(256, np.uint8)
 CLASSES[[0x20, 0x09]] = 1
@@ -57,13 +57,15 @@ def pieces_of(text: bytes) -> Iterator[bytes]:
 
 
 def by_language(batch) -> Iterator[tuple[str, list[bytes]]]:
-    """Lower-cased texts of an Arrow batch (lang, text) in blocks of one language."""
-    blocks: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        blocks.setdefault(lang, []).extend(pieces_of((text or "").encode("utf-8", "replace").translate(LOWER)))
-    for lang, texts in blocks.items():
-        for block in parts(texts):
-            yield lang, block
+    """Lower-cased texts of an Arrow batch (lang, text) in blocks of one language, ``ROWS`` rows at a time."""
+    for at in range(0, batch.num_rows, ROWS):
+        some = batch.slice(at, ROWS)
+        blocks: dict[str, list[bytes]] = {}
+        for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+            blocks.setdefault(lang, []).extend(pieces_of((text or "").encode("utf-8", "replace").translate(LOWER)))
+        for lang, texts in blocks.items():
+            for block in parts(texts):
+                yield lang, block
 
 
 def salt_of(lang: str) -> int:
@@ -187,7 +189,7 @@ def recount(docs: DataFrame, n_parts: int, slots: int, bits) -> DataFrame:
                         counts.update((lang, joined[i:j]) for i, j in zip(first, last, strict=True))
                     else:
                         counts.update((lang, b" ".join(joined[i:j].split())) for i, j in zip(first, last, strict=True))
-                if len(counts) > HELD // 8:
+                if len(counts) > HELD // 4:
                     yield emit()
         if words_in:
             yield emit()

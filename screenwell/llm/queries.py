@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, collocations, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, wrappers
+from screenwell.llm import bpe_tree, collocations, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, whitening, wrappers
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -101,6 +101,11 @@ def bpe_tree_concatenation(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_tree.encode_documents(table(spark, folder, "documents"))
 
 
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 @query("op13_phrase_collocations", """
     WITH p AS (
         SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
