@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwell.llm import bpe_tree, collocations, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, whitening, wrappers
+from screenwell.llm import bpe_tree, chat, collocations, decontaminate, embeddings, jaccard, language, privacy, quality, substrings, warc, whitening, wrappers
 from screenwell.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from screenwell.llm.store import Scratch
 
@@ -101,6 +101,24 @@ def bpe_tree_concatenation(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_tree.encode_documents(table(spark, folder, "documents"))
 
 
+@query("op11_chat_template", """
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+    m AS (SELECT *, length(text) + len(regexp_extract_all(text, p)) AS long_text,
+                 length(role) + len(regexp_extract_all(role, p)) AS long_role
+          FROM c, (SELECT '\\\\|\\[/?INST\\]|</?s>|<</?SYS>>|\\[/?ROLE\\]|\\[/TURN\\]' AS p))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(long_text + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 15 WHEN 'assistant' THEN 7
+                                ELSE 20 + long_role END) AS BIGINT) AS formatted_chars
+    FROM m GROUP BY conv_id""")
+def chat_template(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat.with_control_case(table(spark, folder, "conversations"))
+    return chat.read_back(chat.format_conversations(rows), ordered=True)
+
+
 @query("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(table(spark, folder, "embeddings"))
