@@ -136,8 +136,14 @@ def summaries(docs: DataFrame, n_parts: int) -> DataFrame:
     return docs.mapInArrow(run, "part long, mass long, keys binary, counts binary")
 
 
+def slot_of(tails: np.ndarray, slots: int, way: int) -> np.ndarray:
+    """One of the two places of a key in its partition's slice of the filter."""
+    tails = tails.astype(np.uint64)
+    return (mix(tails, 41) if way else tails) & np.uint64(slots - 1)
+
+
 def survivors(held: DataFrame, threshold: int, slots: int) -> DataFrame:
-    """(part, bits): a bit for every key that may belong to a phrase with ``threshold`` uses.
+    """(part, bits): two bits for every key that may belong to a phrase with ``threshold`` uses.
 
     All summaries of a hash partition are merged at a capacity above its mass divided by the
     threshold. Counts are then short by less than the threshold, so every frequent phrase is left.
@@ -156,14 +162,15 @@ def survivors(held: DataFrame, threshold: int, slots: int) -> DataFrame:
                                             np.concatenate([counts, *(w[1] for w in wait)]), capacity)
                 wait, size, lost = [], 0, lost + gone
         bits = np.zeros(slots, bool)
-        bits[keys[counts + lost >= threshold] & np.uint32(slots - 1)] = True
+        for way in range(2):
+            bits[slot_of(keys[counts + lost >= threshold], slots, way).astype(np.int64)] = True
         return pd.DataFrame({"part": [int(group["part"].iloc[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     return held.groupBy("part").applyInPandas(merge, "part long, bits binary")
 
 
 def recount(docs: DataFrame, n_parts: int, slots: int, bits) -> DataFrame:
-    """(lang, phrase, n): uses of every phrase whose bit is set, counted on the words themselves;
+    """(lang, phrase, n): uses of every phrase whose bits are set, counted on the words themselves;
     the row with a null phrase counts the words of its language."""
     def run(batches):
         import pyarrow as pa
@@ -171,28 +178,42 @@ def recount(docs: DataFrame, n_parts: int, slots: int, bits) -> DataFrame:
         table = np.frombuffer(bits.value, np.uint8)
         counts, words_in = Counter(), Counter()
 
-        def emit():
-            rows = [*((a, b.decode("utf-8", "replace"), n) for (a, b), n in counts.items()), *((a, None, n) for a, n in words_in.items())]
-            counts.clear(), words_in.clear()
+        def emit(rows):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
                                                pa.array([r[2] for r in rows], pa.int64())], ["lang", "phrase", "n"])
 
+        def let_through(hashes: np.ndarray) -> np.ndarray:
+            left = np.arange(len(hashes))
+            for way in range(2):
+                own = hashes[left]
+                slot = (own & np.uint64(n_parts - 1)) * np.uint64(slots) + slot_of((own >> np.uint64(32)).astype(np.uint32), slots, way)
+                left = left[(table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            return left
+
+        def rare() -> list:
+            """The less used half, taken out of the counts: what is used often is passed on once."""
+            edge = int(np.median(np.fromiter(counts.values(), np.int64, len(counts))))
+            out = [(*key, n) for key, n in counts.items() if n <= edge]
+            for lang, phrase, _ in out:
+                del counts[lang, phrase]
+            return [(lang, phrase.decode("utf-8", "replace"), n) for lang, phrase, n in out]
+
         for batch in batches:
             for lang, block in by_language(batch):
                 joined, start, end, piece, words = tokens(block)
                 words_in[lang] += len(words)
                 for k, (at, hashes) in enumerate(phrases(piece, words, salt_of(lang))):
-                    slot = (hashes & np.uint64(n_parts - 1)) * np.uint64(slots) + (hashes >> np.uint64(32) & np.uint64(slots - 1))
-                    at = at[(table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+                    at = at[let_through(hashes)]
                     first, last = start[at].tolist(), end[at + k].tolist()
                     if k == 0:
                         counts.update((lang, joined[i:j]) for i, j in zip(first, last, strict=True))
                     else:
                         counts.update((lang, b" ".join(joined[i:j].split())) for i, j in zip(first, last, strict=True))
-                if len(counts) > HELD // 4:
-                    yield emit()
+                if len(counts) > HELD // 8:
+                    yield emit(rare())
         if words_in:
-            yield emit()
+            yield emit([*((lang, phrase.decode("utf-8", "replace"), n) for (lang, phrase), n in counts.items()),
+                        *((lang, None, n) for lang, n in words_in.items())])
 
     return docs.mapInArrow(run, "lang string, phrase string, n long")
 
