@@ -171,14 +171,18 @@ def survivors(held: DataFrame, threshold: int, slots: int) -> DataFrame:
 
 def recount(docs: DataFrame, n_parts: int, slots: int, bits) -> DataFrame:
     """(lang, phrase, n): uses of every phrase whose bits are set, counted on the words themselves;
-    the row with a null phrase counts the words of its language."""
+    the row with a null phrase counts the words of its language. Python adds up a few blocks of text,
+    Spark's map-side aggregation the rest of the task."""
     def run(batches):
         import pyarrow as pa
 
         table = np.frombuffer(bits.value, np.uint8)
         counts, words_in = Counter(), Counter()
 
-        def emit(rows):
+        def emit():
+            rows = [*((lang, phrase.decode("utf-8", "replace"), n) for (lang, phrase), n in counts.items()),
+                    *((lang, None, n) for lang, n in words_in.items())]
+            counts.clear(), words_in.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
                                                pa.array([r[2] for r in rows], pa.int64())], ["lang", "phrase", "n"])
 
@@ -190,14 +194,6 @@ def recount(docs: DataFrame, n_parts: int, slots: int, bits) -> DataFrame:
                 left = left[(table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             return left
 
-        def rare() -> list:
-            """The less used half, taken out of the counts: what is used often is passed on once."""
-            edge = int(np.median(np.fromiter(counts.values(), np.int64, len(counts))))
-            out = [(*key, n) for key, n in counts.items() if n <= edge]
-            for lang, phrase, _ in out:
-                del counts[lang, phrase]
-            return [(lang, phrase.decode("utf-8", "replace"), n) for lang, phrase, n in out]
-
         for batch in batches:
             for lang, block in by_language(batch):
                 joined, start, end, piece, words = tokens(block)
@@ -209,11 +205,10 @@ def recount(docs: DataFrame, n_parts: int, slots: int, bits) -> DataFrame:
                         counts.update((lang, joined[i:j]) for i, j in zip(first, last, strict=True))
                     else:
                         counts.update((lang, b" ".join(joined[i:j].split())) for i, j in zip(first, last, strict=True))
-                if len(counts) > HELD // 8:
-                    yield emit(rare())
+                if len(counts) > HELD // 16:
+                    yield emit()
         if words_in:
-            yield emit([*((lang, phrase.decode("utf-8", "replace"), n) for (lang, phrase), n in counts.items()),
-                        *((lang, None, n) for lang, n in words_in.items())])
+            yield emit()
 
     return docs.mapInArrow(run, "lang string, phrase string, n long")
 
