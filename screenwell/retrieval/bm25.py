@@ -1,19 +1,25 @@
-"""Exact BM25 top-k for a table of queries."""
+"""Exact BM25 top-k for a table of queries over postings in blocks with known score bounds."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenwell.functions.text import words
 from screenwell.operators.sampling import top_per_group
-from screenwell.retrieval.chunks import saturation
+from screenwell.retrieval.chunks import B, K1, saturation
 from screenwell.session import broadcast_checked, cut_lineage
 
 DIGITS = 6
-# Partial sums are compared with thresholds up to this slack, which covers rounding to DIGITS.
-SLACK = 1e-4
+# Bounds are compared with scores rounded to DIGITS.
+SLACK = 1e-5
+NO_HITS = pd.DataFrame({c: pd.Series([], dtype=object) for c in ("query_id", "source", "chunk_id", "score")})
 GROUP = ["query_id", "source"]
+FIRST_BLOCKS, MORE = 4, 16
+TERMS_PUSHED = 512
+QUERIES_PER_TASK, QUERY_ROWS = 2048, 256
 
 
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
@@ -22,94 +28,116 @@ def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
         "query_id", "term").agg(F.count("*").alias("times"))
 
 
-def impact() -> Column:
-    """Score that a query's uses of a word add to a chunk."""
-    return F.col("times") * F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
+def block_top() -> Column:
+    """Largest saturation of a block's postings: their best (tf, dl) pairs hold it for any corpus."""
+    return F.array_max(F.transform("tops", lambda t: saturation(t["tf"], t["dl"], F.col("avg_dl"))))
 
 
-def bounded_terms(terms: DataFrame, stats: DataFrame) -> DataFrame:
-    """Query words with their statistics and the largest and smallest score they can add."""
-    top = F.col("times") * F.col("idf") * F.col("max_sat")
+def weighted_terms(terms: DataFrame, stats: DataFrame) -> DataFrame:
+    """(query_id, source, term, weight, avg_dl): weight is uses times idf."""
     return stats.join(broadcast_checked(terms), "term").select(
-        *GROUP, "term", "times", "idf", "avg_dl", "df",
-        F.greatest(top, F.lit(0.0)).alias("high"), F.least(top, F.lit(0.0)).alias("low"))
+        *GROUP, "term", (F.col("times") * F.col("idf")).alias("weight"), "avg_dl")
 
 
-def _partial(post: DataFrame, terms: DataFrame) -> DataFrame:
-    """Sum of impacts per (query, source, chunk).
+def block_bounds(blocks: DataFrame, used: DataFrame) -> DataFrame:
+    """(query_id, source, block, bound, place): the most a block's chunks can score for a query, and
+    its place among the query's blocks. Only block heads are read here, no postings."""
+    heads = blocks.select("source", "term", "block", "tops")
+    sums = heads.join(broadcast_checked(used), ["source", "term"]).groupBy(*GROUP, "block").agg(
+        F.sum(F.greatest(F.col("weight") * block_top(), F.lit(0.0))).alias("bound"))
+    order = Window.partitionBy(*GROUP).orderBy(F.desc("bound"), "block")
+    return sums.where("bound > 0").withColumn("place", F.row_number().over(order))
 
-    Postings of the query words are spread by chunk first, each once. While the words fit a
-    broadcast, scores are then added up where the postings are: (query, chunk) pairs, of which
-    there can be many more, are never shuffled.
-    """
-    held = broadcast_checked(terms.select(*GROUP, "term", "times", "idf", "avg_dl"))
-    near = post.join(held, ["source", "term"], "left_semi").repartition("source", "chunk_id")
-    return near.join(held, ["source", "term"]).groupBy(*GROUP, "chunk_id").agg(
-        F.sum(impact()).alias("partial"))
-
-
-def _kth(partial: DataFrame, k: int) -> DataFrame:
-    """Value of the k-th best partial score of each (query, source) that has k of them."""
-    best = top_per_group(partial, GROUP, "partial", "chunk_id", k)
-    return best.filter(F.col("rank") == k).select(*GROUP, F.col("partial").alias("kth"))
-
-
-def _ranked(total: DataFrame, k: int) -> DataFrame:
-    """Positive scores, the best ``k`` per (query, source), ties by the larger chunk_id."""
-    scored = total.select(*GROUP, "chunk_id", F.round("partial", DIGITS).alias("score"))
-    return top_per_group(scored.filter(F.col("score") > 0), GROUP, "score", "chunk_id", k)
 
+def block_scores(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` best chunks of one block for each of some queries, none below its threshold.
 
-def bm25_top(post: DataFrame, stats: DataFrame, terms: DataFrame, k: int = 20,
-             full_ratio: float = 20.0, seed_rows: int = 20_000) -> DataFrame:
-    """Best ``k`` chunks with a positive score per (query, source).
-
-    Every chunk that shares a word with a query is scored, unless that would touch more than
-    ``full_ratio`` times the postings there are (many queries full of common words). Then the
-    search is pruned; both ways give the same result.
+    ``left``: query_id, source, terms, weights, avg_dl, least; ``right``: term, ids, tfs, dls.
     """
-    used = cut_lineage(bounded_terms(terms, stats))
-    touched, held = [t.agg(F.sum("df")).first()[0] or 0 for t in (used, stats)]
-    if touched <= full_ratio * held:
-        return _ranked(_partial(post, used), k)
-    return _pruned(post, used, k, seed_rows)
-
-
-def _pruned(post: DataFrame, used: DataFrame, k: int, seed_rows: int) -> DataFrame:
-    """Exact top ``k`` without scoring chunks that only share common words.
-
-    The rarest words of a query (up to about ``seed_rows`` postings) give a first k-th score.
-    Common words whose largest possible contributions together stay below that score cannot
-    bring in a chunk on their own. They are added afterwards, by (chunk, word), only for chunks
-    that can still reach the top. The small tables between the steps are stored, so that their
-    size is known when the next step chooses between a broadcast and a shuffle.
+    if left.empty or right.empty:
+        return NO_HITS
+    sizes = right["ids"].str.len().to_numpy()
+    ids, column = np.unique(np.concatenate(right["ids"].to_list()), return_inverse=True)
+    tf, dl = (np.concatenate(right[c].to_list()).astype(float) for c in ("tfs", "dls"))
+    sat = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / left["avg_dl"].iloc[0]))
+    table = np.zeros((len(right), len(ids)))
+    table[np.repeat(np.arange(len(right)), sizes), column] = sat
+    row_of = {term: i for i, term in enumerate(right["term"])}
+    out_q, out_i, out_s = [], [], []
+    for at in range(0, len(left), QUERY_ROWS):
+        some = left.iloc[at:at + QUERY_ROWS]
+        weights = np.zeros((len(some), len(right)))
+        for i, (terms, values) in enumerate(zip(some["terms"], some["weights"], strict=True)):
+            for term, value in zip(terms, values, strict=True):
+                if term in row_of:
+                    weights[i, row_of[term]] += value
+        scores = np.round(weights @ table, DIGITS)
+        least = np.maximum(some["least"].to_numpy(), 10.0 ** -DIGITS)
+        if len(ids) > k:
+            least = np.maximum(least, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k])
+        q, c = np.nonzero(scores >= least[:, None])
+        order = np.lexsort((-ids[c], -scores[q, c], q))
+        q, c = q[order], c[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        q, c = q[rank < k], c[rank < k]
+        out_q.append(some["query_id"].to_numpy()[q])
+        out_i.append(ids[c])
+        out_s.append(scores[q, c])
+    found = np.concatenate(out_q)
+    return pd.DataFrame({"query_id": found, "source": left["source"].iloc[0], "chunk_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
+
+
+def scored(blocks: DataFrame, packed: DataFrame, pairs: DataFrame, k: int, ways: int) -> DataFrame:
+    """Best chunks of every (query, block) pair (columns query_id, source, block, least).
+
+    A group is one block with up to about ``QUERIES_PER_TASK`` queries: its postings come once per
+    such set of queries, each query with its words as arrays, and the scores are one product of
+    matrices inside the task.
+    """
+    kind = packed.schema["query_id"].dataType.simpleString()
+    way = F.pmod(F.xxhash64("query_id"), F.lit(ways)).cast("int")
+    left = pairs.join(packed, GROUP).select(*GROUP, "block", "least", "terms", "weights", "avg_dl", way.alias("way"))
+    wanted = pairs.select("source", "block", way.alias("way")).distinct()
+    right = blocks.select("source", "block", "term", "ids", "tfs", "dls").join(broadcast_checked(wanted), ["source", "block"])
+    key = ["source", "block", "way"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        lambda a, b: block_scores(a, b, k), f"query_id {kind}, source string, chunk_id long, score double")
+
+
+def bm25_top(blocks: DataFrame, stats: DataFrame, terms: DataFrame, k: int = 20) -> DataFrame:
+    """Best ``k`` chunks with a positive score per (query, source), ties by the larger chunk_id.
+
+    ``blocks``: postings of ``retrieval.blocks``; ``stats``: source, term, idf, avg_dl. Block-max
+    search in rounds: the blocks with the highest bounds of each query are scored first, its k-th
+    score becomes its threshold, and further blocks are scored only while their bound reaches it, each
+    round ``MORE`` times as many. No chunk of the blocks left out can be among the best. The pairs of
+    a round and the best so far are stored, so that every round starts from written tables.
     """
-    by_group = Window.partitionBy(*GROUP)
-    rare_first = by_group.orderBy("df", "term")
-    volume = F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, 0))
-    used = cut_lineage(used.withColumn(
-        "_seed", (F.row_number().over(rare_first) == 1) | (volume <= seed_rows)))
-
-    seed = _kth(_partial(post, used.filter("_seed")), k)
-    common_first = by_group.orderBy(F.desc("df"), F.desc("term")).rowsBetween(
-        Window.unboundedPreceding, 0)
-    reach = F.sum("high").over(common_first)
-    # A word left out can also lower a chunk when its impact is negative.
-    floor = F.coalesce("kth", F.lit(0.0)) + F.sum("low").over(by_group) - SLACK
-    ruled = cut_lineage(used.join(seed, GROUP, "left").withColumn("_later", reach < floor))
-    later = ruled.filter("_later")
-
-    partial = cut_lineage(_partial(post, ruled.filter(~F.col("_later"))))
-    slack = later.groupBy(*GROUP).agg(F.sum("high").alias("up"), F.sum("low").alias("down"))
-    limits = _kth(partial, k).join(slack, GROUP)
-    alive = F.col("kth").isNull() | (
-        F.col("partial") + F.col("up") >= F.col("kth") + F.col("down") - SLACK)
-    kept = cut_lineage(partial.join(limits, GROUP, "left").filter(alive).select(
-        *GROUP, "chunk_id", "partial"))
-    wanted = kept.select(*GROUP, "chunk_id").join(
-        later.select(*GROUP, "term", "times", "idf", "avg_dl"), GROUP)
-    more = post.join(broadcast_checked(wanted), ["source", "chunk_id", "term"]).groupBy(
-        *GROUP, "chunk_id").agg(F.sum(impact()).alias("more"))
-    total = kept.join(more, [*GROUP, "chunk_id"], "left")
-    return _ranked(total.withColumn(
-        "partial", F.col("partial") + F.coalesce("more", F.lit(0.0))), k)
+    used = cut_lineage(weighted_terms(terms, stats))
+    names = [r[0] for r in used.select("term").distinct().limit(TERMS_PUSHED + 1).collect()]
+    if len(names) <= TERMS_PUSHED:
+        blocks = blocks.where(F.col("term").isin(names))
+    blocks = blocks.join(broadcast_checked(used.select("source", "term").distinct()), ["source", "term"], "left_semi")
+    packed = used.groupBy(*GROUP, "avg_dl").agg(F.collect_list(F.struct("term", "weight")).alias("_t")).select(
+        *GROUP, "avg_dl", F.col("_t.term").alias("terms"), F.col("_t.weight").alias("weights"))
+    bounds = cut_lineage(block_bounds(blocks, used))
+    queries = used.agg(F.count_distinct("query_id")).first()[0]
+    ways = max(1, -(-queries // QUERIES_PER_TASK))
+    best, low, high = None, 0, FIRST_BLOCKS
+    while True:
+        pairs = bounds.where((F.col("place") > low) & (F.col("place") <= high))
+        if best is None:
+            pairs = pairs.withColumn("least", F.lit(0.0))
+        else:
+            kth = best.where(F.col("rank") == k).select(*GROUP, F.col("score").alias("least"))
+            open_bounds = bounds.where(F.col("place") > low).join(broadcast_checked(kth), GROUP, "left").withColumn(
+                "least", F.coalesce("least", F.lit(0.0))).where(F.col("bound") >= F.col("least") - SLACK)
+            # The blocks of a query lie in falling order of their bounds: once one is below, all are.
+            pairs = cut_lineage(open_bounds.where(F.col("place") <= high))
+            if pairs.isEmpty():
+                return best
+        found = scored(blocks, packed, pairs, k, ways)
+        if best is not None:
+            found = found.unionByName(best.drop("rank"))
+        best = cut_lineage(top_per_group(found, GROUP, "score", "chunk_id", k))
+        low, high = high, high * MORE

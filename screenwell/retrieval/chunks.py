@@ -36,43 +36,33 @@ def number_chunks(df: DataFrame, key: str = "doc_id", width: int = 1_000_000) ->
 
 
 def postings(chunks: DataFrame, text: str = "text") -> DataFrame:
-    """(source, chunk_id, term, tf, dl), one row per distinct word of a chunk.
+    """(source, chunk_id, term, tf, dl), one row per distinct word of a chunk, and its ``block``
+    where the chunks have one.
 
     Word counts are taken inside the chunk's own row, so building postings needs no shuffle.
     """
-    listed = chunks.select("source", "chunk_id", words(F.col(text)).alias("_words"))
+    keys = [c for c in ("source", "block", "chunk_id") if c in chunks.columns]
+    listed = chunks.select(*keys, words(F.col(text)).alias("_words"))
     size = F.size("_words").alias("dl")
     # Counted before the explode, so that no output row carries the word list.
     counted = F.transform(F.array_distinct("_words"), lambda w: F.struct(
         w.alias("term"), (F.size("_words") - F.size(F.array_remove(F.col("_words"), w))).alias("tf")))
-    return listed.select("source", "chunk_id", F.inline(counted), size).select(
-        "source", "chunk_id", "term", "tf", "dl")
+    return listed.select(*keys, F.inline(counted), size).select(*keys, "term", "tf", "dl")
 
 
-def source_stats(chunks: DataFrame, post: DataFrame) -> DataFrame:
-    """Chunk count and mean length in words per source; chunks without words count."""
-    n = chunks.groupBy("source").agg(F.count("*").alias("n_chunks"))
-    total = post.groupBy("source").agg(F.sum("tf").alias("_words"))
-    return n.join(total, "source", "left").select(
-        "source", "n_chunks", (F.coalesce("_words", F.lit(0)) / F.col("n_chunks")).alias("avg_dl"))
-
-
-def term_stats(post: DataFrame, sources: DataFrame, epsilon: float = 0.25) -> DataFrame:
-    """Document frequency, idf and largest saturation per (source, term).
+def corpus_stats(counts: DataFrame, totals: DataFrame, epsilon: float = 0.25) -> DataFrame:
+    """(source, term, df, n_chunks, avg_dl, idf) from document frequencies (source, term, df) and
+    totals (source, n_chunks, n_words); chunks without words count.
 
     A negative idf (a term in more than half of the chunks) becomes ``epsilon`` times the mean
-    idf of the source. The counts are stored, being needed for the mean and for the result.
-    ``sources`` and the means have one row per source and are broadcast when those are few.
+    idf of the source. The values are stored, being needed for the mean and for the result.
+    ``totals`` and the means have one row per source and are broadcast when those are few.
     """
-    few = fits(sources, 10_000)
-    hint = F.broadcast if few else lambda df: df
-    sat = saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
-    df = post.join(hint(sources), "source").groupBy("source", "term").agg(
-        F.count("*").alias("df"), F.max(sat).alias("max_sat"))
+    hint = F.broadcast if fits(totals, 10_000) else lambda df: df
     n = F.col("n_chunks")
-    raw = cut_lineage(df.join(hint(sources), "source").withColumn(
-        "_idf", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)))
+    raw = cut_lineage(counts.join(hint(totals), "source").select(
+        "source", "term", "df", "n_chunks", (F.col("n_words") / n).alias("avg_dl"),
+        (F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)).alias("_idf")))
     means = raw.groupBy("source").agg(F.avg("_idf").alias("_mean"))
     floor = F.when(F.col("_idf") < 0, F.col("_mean") * epsilon).otherwise(F.col("_idf"))
-    return raw.join(hint(means), "source").select(
-        "source", "term", "df", "max_sat", floor.alias("idf"), "n_chunks", "avg_dl")
+    return raw.join(hint(means), "source").select("source", "term", "df", "n_chunks", "avg_dl", floor.alias("idf"))

@@ -7,18 +7,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
 
 from screenwell.functions.text import words
 from screenwell.operators.sampling import top_per_group
-from screenwell.session import fits
 
 DIGITS = 6
-QUERY_BLOCK = 4096
+NO_HITS = pd.DataFrame({c: pd.Series([], dtype=object) for c in ("query_id", "source", "chunk_id", "score")})
+QUERY_BLOCK, VECTOR_BLOCK, STEP = 4096, 65_536, 2048
 
 
 def _slot(word: str, dim: int) -> int:
@@ -54,78 +51,64 @@ def unit(vector: Column) -> Column:
     return F.transform(vector, lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0)))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores, ties by the larger id."""
-    if len(scores) > k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = np.flatnonzero(scores >= edge)
-    else:
-        near = np.arange(len(scores))
-    order = np.lexsort((-ids[near], -scores[near]))
-    return near[order[:k]]
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
-
-
-def _search_block(vectors: DataFrame, names: list, matrix: np.ndarray, k: int,
-                  id_type: DataType) -> DataFrame:
-    """Per Arrow batch: one matrix product, then the k best rows per (query, source)."""
-    id_arrow = to_arrow_type(id_type)
-
-    def scan(batches):
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            source = batch.column(0).to_pandas().to_numpy()
-            ids = batch.column(1).to_numpy(zero_copy_only=False)
-            rows = _matrix(batch.column(2))
-            out_q, out_s, out_i, out_v = [], [], [], []
-            for name in pd.unique(source):
-                pick = np.flatnonzero(source == name)
-                scores = np.round(rows[pick] @ matrix.T, DIGITS)
-                for j, query in enumerate(names):
-                    at = _best(scores[:, j], ids[pick], k)
-                    out_q += [query] * len(at)
-                    out_s += [name] * len(at)
-                    out_i.append(ids[pick][at])
-                    out_v.append(scores[at, j])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q, id_arrow), pa.array(out_s, pa.string()),
-                 pa.array(np.concatenate(out_i), pa.int64()),
-                 pa.array(np.concatenate(out_v), pa.float64())],
-                ["query_id", "source", "chunk_id", "score"])
-
-    return vectors.select("source", "chunk_id", "vector").mapInArrow(
-        scan, f"query_id {id_type.simpleString()}, source string, chunk_id long, score double")
-
-
-def dense_top(vectors: DataFrame, queries: DataFrame, k: int = 20,
-              block: int = QUERY_BLOCK) -> DataFrame:
+def _merged(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best entries of every query, ties by the larger id."""
+    order = np.lexsort((-ids, -score, query))
+    query, score, ids = query[order], score[order], ids[order]
+    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[keep], score[keep], ids[keep]
+
+
+def _search(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Best ``k`` rows of one block of vectors for one block of queries.
+
+    Products are taken ``STEP`` vectors at a time; the best of each query so far are kept across the
+    steps, and only scores that reach its k-th go on.
+    """
+    if vectors.empty or queries.empty:
+        return NO_HITS
+    matrix = np.vstack(queries["vector"].to_list()).T
+    ids = vectors["chunk_id"].to_numpy()
+    best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, ids.dtype))
+    least = np.full(matrix.shape[1], -np.inf)
+    for at in range(0, len(vectors), STEP):
+        scores = np.round(np.vstack(vectors["vector"].iloc[at:at + STEP].to_list()) @ matrix, DIGITS)
+        edge = least
+        if len(scores) > k:
+            edge = np.maximum(least, np.partition(scores, len(scores) - k, axis=0)[len(scores) - k])
+        row, query = np.nonzero(scores >= edge)
+        best = _merged(np.concatenate([best[0], query]), np.concatenate([best[1], scores[row, query]]),
+                       np.concatenate([best[2], ids[at + row]]), k)
+        full = np.flatnonzero(np.bincount(best[0], minlength=len(least)) == k)
+        least[full] = best[1][np.searchsorted(best[0], full, "right") - 1]
+    return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[best[0]], "source": vectors["source"].iloc[0],
+                         "chunk_id": best[2], "score": best[1]})
+
+
+def _by_source(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+    return pd.concat([_search(part, queries, k) for _, part in vectors.groupby("source", dropna=False)] or [_search(vectors, queries, k)])
+
+
+def dense_top(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = QUERY_BLOCK,
+              vector_block: int = VECTOR_BLOCK) -> DataFrame:
     """Best ``k`` vectors by inner product per (query, source), exhaustively.
 
-    ``vectors``: source, chunk_id, vector; ``queries``: query_id, vector. The query matrix goes to
-    every task and is therefore held to ``block`` rows; a larger query table is cut by hash into
-    blocks of about that size and searched block by block. Each batch of vectors passes on k
-    rows per query, so no task or shuffle ever holds all query-vector pairs.
+    ``vectors``: source, chunk_id, vector; ``queries``: query_id, vector. Both are cut by hash into
+    blocks of about ``vector_block`` and ``block`` rows; a task gets one block of each and passes on
+    k rows per query. Vectors are shuffled once per block of queries, nothing passes the driver, and
+    no task or shuffle holds all query-vector pairs. Rows without a vector are left out.
     """
-    id_type = queries.schema["query_id"].dataType
-    wanted = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector"))
-    parts = [wanted]
-    if not fits(wanted.select("query_id"), block):
-        n = -(-2 * wanted.count() // block)
-        share = F.pmod(F.xxhash64("query_id"), F.lit(n))
-        parts = [wanted.filter(share == i) for i in range(n)]
-    found = None
-    for part in parts:
-        held = part.toPandas()
-        if held.empty:
-            continue
-        hits = _search_block(vectors, held["query_id"].tolist(),
-                             np.vstack(held["vector"].to_numpy()), k, id_type)
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = _search_block(vectors.limit(0), [], np.zeros((0, 1)), k, id_type)
+    kind = queries.schema["query_id"].dataType.simpleString()
+    usable = vectors.where("vector is not null").select("source", "chunk_id", F.col("vector").cast("array<double>").alias("vector"))
+    asked = queries.where("vector is not null").select("query_id", F.col("vector").cast("array<double>").alias("vector"))
+    n_vectors, n_queries = usable.count(), asked.count()
+    parts = max(1, -(-n_queries // block))
+    ways = max(-(-n_vectors // vector_block), min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n_vectors // STEP)), 1)
+    way = F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>")
+    part = F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")
+    left = usable.withColumns({"_way": F.pmod(F.xxhash64("chunk_id"), F.lit(ways)), "_part": F.explode(part)})
+    right = asked.withColumns({"_part": F.pmod(F.xxhash64("query_id"), F.lit(parts)), "_way": F.explode(way)})
+    key = ["_way", "_part"]
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        lambda a, b: _by_source(a, b, k), f"query_id {kind}, source string, chunk_id long, score double")
     return top_per_group(found, ["query_id", "source"], "score", "chunk_id", k)

@@ -10,13 +10,16 @@ from screenwell.fixed_values import NO_HIT_ANSWER
 from screenwell.plans.retrieval_plan import answer_queries, evaluate, evaluation_questions, retrieve
 from screenwell.plans.triage_plan import triage
 from screenwell.retrieval.bm25 import bm25_top, query_terms
-from screenwell.retrieval.chunks import (chunk_text, number_chunks, postings, source_stats,
-                                         term_stats)
+from screenwell.retrieval import bm25
+from screenwell.retrieval.blocks import block_postings, block_rows, in_blocks
+from screenwell.retrieval.chunks import chunk_text, number_chunks, postings
 from screenwell.retrieval.dense import dense_top, embed
 from screenwell.retrieval.hybrid import fuse_ranks, merge_hits
 from screenwell.sources.bibliography import summary_documents
 from screenwell.sources.files import read_summaries
-from screenwell.sources.index_store import build_index
+from screenwell.session import checkpoint_folder, cut_lineage
+from screenwell.sources.index_store import (append_chunks, build_index, create_index, latest, load_index,
+                                            merge_segments)
 from tests.test_scoring import records
 
 WORDS = [f"w{i}" for i in range(60)]
@@ -53,17 +56,26 @@ def brute_bm25(rows, query, k=5):
     return out
 
 
-@pytest.mark.parametrize("ratio,seed_rows", [(1e9, 1), (0.0, 1), (0.0, 30), (0.0, 10_000)])
-def test_bm25_equals_brute_force(spark, ratio, seed_rows):
+def by_query(found):
+    got = {}
+    for r in found.orderBy("query_id", "source", "rank").collect():
+        got.setdefault((r.query_id, r.source), []).append((r.score, r.chunk_id))
+    return got
+
+
+@pytest.mark.parametrize("bits,first", [(0, 1), (2, 1), (2, 4), (7, 4)])
+def test_bm25_equals_brute_force(spark, monkeypatch, bits, first):
+    """Blocks of 1, 4 and 128 chunks; copies of chunks tie and are ranked by id."""
+    monkeypatch.setattr(bm25, "FIRST_BLOCKS", first)
+    monkeypatch.setattr(bm25, "MORE", 3)
     rows, chunks = corpus(spark)
+    rows = rows + [(i + 1000, s, t) for i, s, t in rows[:60]]
+    chunks = spark.createDataFrame(rows, chunks.schema)
     texts = ["w0 w1 w2 w0", "w30 w0 w45", "w50 w51 w52 w53 w1", "w0", "unknown"]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id long, query_text string")
-    post = postings(chunks)
-    stats = term_stats(post, source_stats(chunks, post))
-    terms = query_terms(queries)
-    found, got = bm25_top(post, stats, terms, 5, ratio, seed_rows), {}
-    for r in found.orderBy("query_id", "source", "rank").collect():
-        got.setdefault((r.query_id, r.source), []).append((r.score, r.chunk_id))
+    blocks = cut_lineage(block_postings(postings(cut_lineage(in_blocks(chunks, bits=bits)))))
+    stats = build_index(chunks).term_stats
+    got = by_query(bm25_top(blocks, stats, query_terms(queries), 5))
     for q, text in enumerate(texts):
         for source, want in brute_bm25(rows, text).items():
             mine = got.get((q, source), [])
@@ -71,6 +83,59 @@ def test_bm25_equals_brute_force(spark, ratio, seed_rows):
             assert np.allclose([s for s, _ in mine], [s for s, _ in want], atol=2e-6)
 
 
+def test_bm25_scores_few_blocks_of_rare_words(spark, monkeypatch):
+    """Pairs of query and block that are scored do not grow faster than the queries, and stay far
+    below all pairs that share a word."""
+    seen = []
+    whole = bm25.scored
+    monkeypatch.setattr(bm25, "scored", lambda b, p, pairs, k, ways: seen.append(pairs.count()) or whole(b, p, pairs, k, ways))
+    rng = random.Random(5)
+    rows = [(i, "a", " ".join([f"rare{i // 8}"] + [WORDS[rng.randrange(20)] for _ in range(12)])) for i in range(2000)]
+    blocks = cut_lineage(block_postings(postings(cut_lineage(in_blocks(
+        spark.createDataFrame(rows, "chunk_id long, source string, text string"), bits=3)))))
+    stats = build_index(spark.createDataFrame(rows, "chunk_id long, source string, text string")).term_stats
+    for n in (20, 200):
+        queries = spark.createDataFrame([(q, f"rare{q} w1 w2 w3") for q in range(n)], "query_id long, query_text string")
+        seen.clear()
+        assert bm25_top(blocks, stats, query_terms(queries), 3).count() == 3 * n
+        assert sum(seen) <= n * 10
+
+
+def test_blocks_hold_every_posting_once(spark):
+    _, chunks = corpus(spark)
+    placed = cut_lineage(in_blocks(chunks, 3, 2))
+    assert placed.groupBy("source", "block").count().where("count > 4").isEmpty()
+    assert placed.where("block < 3 * shiftleft(1L, 47)").isEmpty()
+    post = postings(chunks)
+    rows = block_rows(block_postings(postings(placed))).select(post.columns)
+    assert rows.exceptAll(post).isEmpty() and post.exceptAll(rows).isEmpty()
+
+
+def test_index_appends_merges_and_prunes(spark):
+    rows, chunks = corpus(spark)
+    folder = f"{checkpoint_folder(spark)}/index-test"
+    create_index(spark, folder, chunks.where("chunk_id < 200"))
+    queries = spark.createDataFrame([(0, "w40 w41 w1")], "query_id long, query_text string")
+    search = lambda: by_query(bm25_top(load_index(spark, folder).postings, load_index(spark, folder).term_stats, query_terms(queries), 5))
+    assert [i for _, i in search()[0, "a"]] == [i for _, i in brute_bm25([r for r in rows if r[0] < 200], "w40 w41 w1")["a"]]
+    append_chunks(spark, folder, chunks.where("chunk_id >= 200"))
+    want = [i for _, i in brute_bm25(rows, "w40 w41 w1")["a"]]
+    assert [i for _, i in search()[0, "a"]] == want and len(latest(spark, folder)["segments"]) == 2
+    with pytest.raises(ValueError):
+        append_chunks(spark, folder, chunks.where("chunk_id = 7"))
+    with pytest.raises(FileExistsError):
+        create_index(spark, folder, chunks)
+    merge_segments(spark, folder)
+    assert [i for _, i in search()[0, "a"]] == want and len(latest(spark, folder)["segments"]) == 1
+    one = load_index(spark, folder, ["b"])
+    assert {r.source for r in one.vectors.select("source").distinct().collect()} == {"b"}
+    assert "PartitionFilters: [isnotnull(source" in one.postings._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).replace("source#", "source#")
+    fewer = load_index(spark, folder).postings.where(F.col("term").isin(["w40"])).select("tops")
+    plan = fewer._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(term), EqualTo(term,w40)]" in plan and "ids" not in plan.split("ReadSchema")[-1]
+
+
 @pytest.mark.parametrize("block", [3, 1000])
 def test_dense_equals_brute_force(spark, block):
     rng = np.random.default_rng(1)
@@ -82,7 +147,7 @@ def test_dense_equals_brute_force(spark, block):
     queries = spark.createDataFrame([(i, q.tolist()) for i, q in enumerate(qs)],
                                     "query_id long, vector array<double>")
     for parts in (1, 5):
-        found = dense_top(vectors.repartition(parts), queries, 4, block)
+        found = dense_top(vectors.repartition(parts), queries, 4, block, 50 * parts)
         got = {(r.query_id, r.source, r["rank"]): r.chunk_id for r in found.collect()}
         for q in range(10):
             scores = np.round(vec @ qs[q], 6)

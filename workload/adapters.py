@@ -15,7 +15,9 @@ from screenwell.fixed_values import (ALL_ITEMS, BAND_SCORES, GAD_BANDS, GAD_ITEM
                                      PHQ_ITEMS, SUBREDDIT_LABELS)
 from screenwell.functions.hashing import bucket
 from screenwell.operators.triage import score_record
+from screenwell.retrieval.chunks import chunk_text, number_chunks
 from screenwell.session import checkpoint_folder, cut_lineage, spread
+from screenwell.sources.index_store import create_index, load_index
 
 # Multipliers that spread the 16 item values (fixed values of the adapter).
 PRIMES = [5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59, 61]
@@ -241,6 +243,32 @@ def search_queries(spark: SparkSession, sf: str) -> DataFrame:
                                                 F.col("text").alias("query_text"))
 
 
+STORED: dict[tuple[str, str], str] = {}
+
+
+def corpus_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks with metadata: the document's first 60 characters as title on two of three."""
+    docs = corpus(spark, sf).withColumns({
+        "pmid": F.col("doc_id").cast("string"),
+        "title": F.when(F.col("doc_id") % 3 != 0, F.substring("text", 1, 60)),
+        "disorder": F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("topic "), F.col("source")))})
+    return number_chunks(chunk_text(docs)).drop("chunk_no", "doc_id")
+
+
+def index_folder(spark: SparkSession, sf: str) -> str:
+    """The stored index of all documents: built by the first query that asks, then loaded."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in STORED:
+        folder = fresh_folder(spark, "index")
+        create_index(spark, folder, corpus_chunks(spark, sf))
+        STORED[key] = folder
+    return STORED[key]
+
+
+def corpus_index(spark: SparkSession, sf: str, sources: list[str] | None = None):
+    return load_index(spark, index_folder(spark, sf), sources)
+
+
 # White space as the tokenizer sees it, for an engine whose \s is ASCII only.
 BLANK_SQL = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
              r"\x{205f}\x{3000}]+")

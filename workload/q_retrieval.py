@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from screenwell import fixed_values as V
 from screenwell.plans.retrieval_plan import answer_queries, evaluate, retrieve
 from screenwell.retrieval import bm25, chunks, dense, hybrid
-from screenwell.session import cut_lineage
+from screenwell.retrieval.blocks import block_rows
 from screenwell.sources import index_store
 from workload import adapters as A
 from workload.registry import query
@@ -15,35 +15,16 @@ from workload.registry import query
 DIM = 64
 
 
-def corpus_chunks(spark, sf):
-    """Chunks with metadata: the document's first 60 characters as title on two of three."""
-    docs = A.corpus(spark, sf).withColumns({
-        "pmid": F.col("doc_id").cast("string"),
-        "title": F.when(F.col("doc_id") % 3 != 0, F.substring("text", 1, 60)),
-        "disorder": F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("topic "), F.col("source")))})
-    return chunks.number_chunks(chunks.chunk_text(docs)).drop("chunk_no", "doc_id")
-
-
-def corpus_index(spark, sf):
-    return index_store.build_index(corpus_chunks(spark, sf))
-
-
-def keyword_index(spark, sf):
-    parts = corpus_chunks(spark, sf).select("source", "chunk_id", "text")
-    post = cut_lineage(chunks.postings(parts))
-    return post, chunks.term_stats(post, cut_lineage(chunks.source_stats(parts, post)))
-
-
 @query("r03_postings", f"""WITH {A.BM25}
 SELECT source, chunk_id, term, tf, dl FROM post""")
 def _(spark, sf):
-    return chunks.postings(corpus_chunks(spark, sf))
+    return chunks.postings(A.corpus_chunks(spark, sf))
 
 
 @query("a20_corpus_stats", f"""WITH {A.BM25}
 SELECT source, term, df, n_chunks, round(avg_dl, 6) AS avg_dl, round(idf, 6) AS idf FROM stats""")
 def _(spark, sf):
-    return keyword_index(spark, sf)[1].select(
+    return A.corpus_index(spark, sf).term_stats.select(
         "source", "term", "df", "n_chunks", F.round("avg_dl", 6).alias("avg_dl"),
         F.round("idf", 6).alias("idf"))
 
@@ -51,8 +32,8 @@ def _(spark, sf):
 @query("r04_j04_bm25_top", f"""WITH {A.BM25}
 SELECT query_id, source, chunk_id, score, rank FROM bm""")
 def _(spark, sf):
-    post, stats = keyword_index(spark, sf)
-    return bm25.bm25_top(post, stats, bm25.query_terms(A.search_queries(spark, sf)))
+    index = A.corpus_index(spark, sf)
+    return bm25.bm25_top(index.postings, index.term_stats, bm25.query_terms(A.search_queries(spark, sf)))
 
 
 def vectors(spark, sf):
@@ -108,24 +89,41 @@ def _(spark, sf):
     return long.filter("weight > 0").withColumn("weight", F.round("weight", 6))
 
 
-HITS = f"""{A.BM25}, {EMBED}, cand AS (
+def hits_sql(copy: str) -> str:
+    """Both hit lists merged; of hits with the same ``copy`` the first stays."""
+    return f"""{A.BM25}, {EMBED}, cand AS (
   SELECT query_id, source, chunk_id, score, rank, 0 AS origin FROM bm UNION ALL
   SELECT query_id, source, chunk_id, score, rank, 1 FROM dn), merged AS (
   SELECT cand.*, k.text, k.doc_id FROM cand JOIN chunks k USING (source, chunk_id)
-  QUALIFY row_number() OVER (PARTITION BY query_id, source, substr(k.text, 1, 80)
+  QUALIFY row_number() OVER (PARTITION BY query_id, source, {copy}
     ORDER BY origin, rank) = 1)"""
 
 
-@query("r07_j01_w02_u01_u02_merge_hits", f"""WITH {HITS}
-SELECT query_id, source, chunk_id, origin, rank, score FROM merged""")
-def _(spark, sf):
-    index, queries = corpus_index(spark, sf), A.search_queries(spark, sf)
+HITS = hits_sql("k.text")
+
+
+def merged_hits(spark, sf, prefix):
+    index, queries = A.corpus_index(spark, sf), A.search_queries(spark, sf)
     keyword = bm25.bm25_top(index.postings, index.term_stats, bm25.query_terms(queries))
     near = dense.dense_top(index.vectors, dense.embed(queries, "query_text"))
-    return hybrid.merge_hits(keyword, near, index.chunks, prefix=80).select(
+    return hybrid.merge_hits(keyword, near, index.chunks, prefix=prefix).select(
         "query_id", "source", "chunk_id", "origin", "rank", "score")
 
 
+@query("r07_j01_w02_u01_u02_merge_hits", f"""WITH {hits_sql("substr(k.text, 1, 80)")}
+SELECT query_id, source, chunk_id, origin, rank, score FROM merged""")
+def _(spark, sf):
+    """Copies by their first 80 characters."""
+    return merged_hits(spark, sf, 80)
+
+
+@query("r07_merge_hits_by_text", f"""WITH {HITS}
+SELECT query_id, source, chunk_id, origin, rank, score FROM merged""")
+def _(spark, sf):
+    """Copies by the whole text."""
+    return merged_hits(spark, sf, None)
+
+
 QW = A.words_sql("b.text")
 RANKED = f"""{HITS}, pair AS (
   SELECT m.* EXCLUDE (score), coalesce(len(list_intersect(list_distinct({QW}),
@@ -138,7 +136,7 @@ RANKED = f"""{HITS}, pair AS (
 @query("r08_rerank", f"""WITH {RANKED}
 SELECT query_id, source, chunk_id, round(score, 6) AS score, final_rank FROM fin""")
 def _(spark, sf):
-    found = retrieve(A.search_queries(spark, sf), corpus_index(spark, sf))
+    found = retrieve(A.search_queries(spark, sf), A.corpus_index(spark, sf))
     return found.select("query_id", "source", "chunk_id", F.round("score", 6).alias("score"),
                         "final_rank")
 
@@ -148,7 +146,7 @@ SELECT query_id, source, chunk_id, score, row_number() OVER (
   PARTITION BY query_id ORDER BY score DESC, source, origin, rank) AS final_rank
 FROM merged QUALIFY final_rank <= 5""")
 def _(spark, sf):
-    found = retrieve(A.search_queries(spark, sf), corpus_index(spark, sf), scorer=None)
+    found = retrieve(A.search_queries(spark, sf), A.corpus_index(spark, sf), scorer=None)
     return found.select("query_id", "source", "chunk_id", "score", "final_rank")
 
 
@@ -169,7 +167,7 @@ CITED = f"""{RANKED}, meta AS (
 SELECT query_id, md5(context) AS context_md5, cited, array_to_string(labels, ' | ') AS labels,
   differential FROM cite""")
 def _(spark, sf):
-    out = hybrid.cite(retrieve(A.search_queries(spark, sf), corpus_index(spark, sf)))
+    out = hybrid.cite(retrieve(A.search_queries(spark, sf), A.corpus_index(spark, sf)))
     named = F.transform("citations", lambda c: F.concat(c["source"], F.lit(":"), c["pmid"]))
     return out.select(
         "query_id", F.md5("context").alias("context_md5"),
@@ -182,16 +180,15 @@ def _(spark, sf):
   AS answer, 0 AS n_citations FROM benchmark""")
 def _(spark, sf):
     """No source is allowed, so every query gets the refusal."""
-    out = answer_queries(A.search_queries(spark, sf), corpus_index(spark, sf), sources=[])
+    out = answer_queries(A.search_queries(spark, sf), A.corpus_index(spark, sf), sources=[])
     return out.select("query_id", "answer", F.size("citations").alias("n_citations"))
 
 
 @query("p09_source_filter", f"""WITH {A.BM25}
 SELECT query_id, source, chunk_id, score, rank FROM bm WHERE source IN ('de', 'fr')""")
 def _(spark, sf):
-    post, stats = keyword_index(spark, sf)
-    keep = lambda t: hybrid.only_sources(t, ["de", "fr"])
-    return bm25.bm25_top(keep(post), keep(stats), bm25.query_terms(A.search_queries(spark, sf)))
+    index = A.corpus_index(spark, sf, ["de", "fr"])
+    return bm25.bm25_top(index.postings, index.term_stats, bm25.query_terms(A.search_queries(spark, sf)))
 
 
 WANT = f"list_distinct({A.words_sql('b.text')})"
@@ -210,24 +207,60 @@ SELECT count(*) AS n, round(avg(cp), 6) AS context_precision, round(avg(cr), 6)
 def _(spark, sf):
     questions = A.search_queries(spark, sf).select(
         F.col("query_text").alias("question"), F.col("query_text").alias("ground_truth"))
-    means = hybrid.mean_scores(evaluate(questions, corpus_index(spark, sf)))
+    means = hybrid.mean_scores(evaluate(questions, A.corpus_index(spark, sf)))
     return means.select("n", *[F.round(c, 6).alias(c) for c in means.columns[1:]])
 
 
-@query("s14_index_round_trip", f"""WITH {A.BM25}
-SELECT source, (SELECT count(*) FROM chunks c WHERE c.source = s.source) AS chunks,
-  (SELECT count(*) FROM post p WHERE p.source = s.source) AS postings,
-  (SELECT count(*) FROM stats t WHERE t.source = s.source) AS term_stats,
-  (SELECT count(*) FROM chunks c WHERE c.source = s.source) AS vectors FROM src s""")
+def sums_sql(expr: str) -> str:
+    return f"sum(('0x' || substr(md5({expr}), 1, 8))::BIGINT)::BIGINT"
+
+
+def sums_of(*columns):
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"))
+
+
+def index_contents(index):
+    """Rows and checksums of every table of an index, per source."""
+    chunks_ = index.chunks.groupBy("source").agg(F.count("*").alias("chunks"), sums_of("chunk_id", "text", "pmid").alias("chunk_sum"))
+    post = block_rows(index.postings).groupBy("source").agg(
+        F.count("*").alias("postings"), sums_of("chunk_id", "term", "tf", "dl").alias("posting_sum"))
+    stats = index.term_stats.groupBy("source").agg(F.count("*").alias("term_stats"), sums_of("term", "df", "n_chunks").alias("stats_sum"))
+    slots = index.vectors.select("source", "chunk_id", F.posexplode("vector").alias("slot", "weight")).where("weight > 0")
+    near = slots.groupBy("source").agg(F.count("*").alias("weights"), F.round(F.sum("weight"), 3).alias("weight_sum"))
+    return chunks_.join(post, "source").join(stats, "source").join(near, "source")
+
+
+CONTENTS = f"""WITH {A.BM25}, {EMBED}, ch AS (
+  SELECT source, count(*) AS chunks, {sums_sql("concat_ws('|', chunk_id, text, doc_id)")} AS chunk_sum FROM chunks GROUP BY 1), po AS (
+  SELECT source, count(*) AS postings, {sums_sql("concat_ws('|', chunk_id, term, tf, dl)")} AS posting_sum FROM post GROUP BY 1), st AS (
+  SELECT source, count(*) AS term_stats, {sums_sql("concat_ws('|', term, df, n_chunks)")} AS stats_sum FROM stats GROUP BY 1), ve AS (
+  SELECT source, count(*) AS weights, round(sum(c / norm), 3) AS weight_sum FROM cb JOIN cn USING (chunk_id) GROUP BY 1)
+SELECT * FROM ch JOIN po USING (source) JOIN st USING (source) JOIN ve USING (source)"""
+
+
+@query("s14_index_round_trip", CONTENTS)
+def _(spark, sf):
+    """What the loaded index of all documents holds."""
+    return index_contents(A.corpus_index(spark, sf))
+
+
+@query("s14_index_append_and_merge", CONTENTS)
+def _(spark, sf):
+    """The same contents from an index of one language to which the others are appended, merged."""
+    folder, parts = A.fresh_folder(spark, "index"), A.corpus_chunks(spark, sf)
+    index_store.create_index(spark, folder, parts.where("source = 'en'"))
+    index_store.append_chunks(spark, folder, parts.where("source <> 'en'"))
+    index_store.merge_segments(spark, folder)
+    return index_contents(index_store.load_index(spark, folder))
+
+
+@query("s14_index_build", f"""WITH {A.BM25}
+SELECT source, count(*) AS postings, count(DISTINCT term) AS terms FROM post GROUP BY 1""")
 def _(spark, sf):
-    folder = A.fresh_folder(spark, "index")
-    index_store.save_index(corpus_index(spark, sf), folder)
-    loaded = index_store.load_index(spark, folder)
-    out = None
-    for name in index_store.Index.TABLES:
-        n = getattr(loaded, name).groupBy("source").agg(F.count("*").alias(name))
-        out = n if out is None else out.join(n, "source", "full_outer")
-    return out
+    """Builds a new index every time."""
+    built = index_store.build_index(A.corpus_chunks(spark, sf))
+    return built.postings.groupBy("source").agg(F.sum("n").alias("postings"), F.count_distinct("term").alias("terms"))
 
 
 @query("t16_triage_with_literature")
@@ -235,6 +268,6 @@ def _(spark, sf):
     """All records against the document index: every record gets its query's citations."""
     from screenwell.plans.triage_plan import triage
 
-    judged = triage(A.records(spark, sf), index=corpus_index(spark, sf))
+    judged = triage(A.records(spark, sf), index=A.corpus_index(spark, sf))
     return judged.groupBy("query_text", "safety_verdict").agg(
         F.count("*").alias("n"), F.max(F.size("citations")).alias("n_citations"))
