@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenwell.operators.running import running_sums
+from screenwell.session import cut_lineage
+
 MICROS = 1_000_000
 
 
@@ -17,26 +20,29 @@ def micros(name: str):
 
 
 def trailing_requests(df: DataFrame, key: str, time: str, limit: int = 10, window: int = 60,
-                      block: int | None = None) -> DataFrame:
+                      slices: int | None = None) -> DataFrame:
     """Add ``recent`` (requests of the key in the ``window`` seconds before this one, ties
     included) and ``over_limit``.
 
-    Each key's time line is cut into blocks; rows of the last ``window`` seconds of a block are
-    also sent to the next one as context. A key that holds much of the table is thus spread over
-    its blocks instead of being sorted in one task. A row without a time stays, both columns NULL.
+    Requests are counted per (key, time) first. Each time also sends a mark ``window`` earlier; in
+    one running sum over times and marks (``running_sums``: range partitions and their totals, so a
+    key's line may span many tasks) the requests up to a time, less those up to its mark, are those
+    between. Raw rows only meet the finished (key, time) values. A row without a time stays, both
+    columns NULL; rows without a key count together.
     """
-    span, width = window * MICROS, (block or window * 10) * MICROS
-    if width < span:
-        raise ValueError("block must not be shorter than window")
-    at = micros(time)
-    home = F.floor(at / F.lit(width)).cast("long")
-    late = at - home * width >= width - span
-    targets = F.when(late, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = df.withColumns({"_at": at, "_home": home}).withColumn("_block", F.explode(targets))
-    w = Window.partitionBy(key, "_block").orderBy("_at").rangeBetween(-span + 1, 0)
-    counted = spread.withColumn("recent", F.when(F.col("_at").isNotNull(), F.count("*").over(w) - 1))
-    own = counted.filter(F.col("_block").eqNullSafe(F.col("_home")))
-    return own.drop("_at", "_home", "_block").withColumn("over_limit", F.col("recent") >= limit)
+    span = window * MICROS
+    counts = cut_lineage(df.where(F.col(time).isNotNull()).groupBy(F.col(key).alias("_key"), micros(time).alias("_at")).agg(
+        F.count("*").alias("_n")))
+    marks = counts.select("_key", (F.col("_at") - span).alias("_at"), F.lit(0).cast("long").alias("_n"))
+    line = counts.unionByName(marks).groupBy("_key", "_at").agg(F.sum("_n").alias("_n"), F.count_if(F.col("_n") > 0).alias("_real"))
+    run = cut_lineage(running_sums(line, ["_key"], "_at", ["_n"], slices).select(
+        "_key", "_at", "_real", (F.col("before__n") + F.col("_n")).alias("_upto")))
+    before = run.select(F.col("_key").alias("_mark_key"), (F.col("_at") + span).alias("_mark_at"), F.col("_upto").alias("_old"))
+    same = F.col("_key").eqNullSafe(F.col("_mark_key")) & (F.col("_at") == F.col("_mark_at"))
+    found = run.where("_real > 0").join(before, same).select(
+        "_key", "_at", (F.col("_upto") - F.col("_old") - 1).alias("recent"))
+    own = F.col(key).eqNullSafe(F.col("_key")) & (micros(time) == F.col("_at"))
+    return df.join(found, own, "left").drop("_key", "_at").withColumn("over_limit", F.col("recent") >= limit)
 
 
 def admit(times: np.ndarray, counts: np.ndarray, recent: deque, limit: int,

@@ -2,37 +2,65 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from screenwell.functions.text import words
+
 BLOCK_BITS = 7
 SEGMENT_BITS = 47
 
 
 def in_blocks(chunks: DataFrame, segment: int = 0, bits: int = BLOCK_BITS) -> DataFrame:
-    """Chunks in order of (source, chunk_id) with ``block``: at most ``2 ** bits`` neighbours share
-    one. Numbers are unique over segments. They depend on the tasks: store the result before use."""
-    ordered = chunks.repartitionByRange("source", "chunk_id").sortWithinPartitions("source", "chunk_id")
+    """Chunks with their ``words`` and ``block``: at most ``2 ** bits`` neighbours of a task, sorted
+    by (source, chunk_id), share one. Numbers are unique over segments. They depend on the tasks:
+    store the result before use."""
+    ordered = chunks.sortWithinPartitions("source", "chunk_id")
     place = F.shiftright(F.monotonically_increasing_id(), bits)
-    return ordered.withColumn("block", place + F.lit(segment << SEGMENT_BITS))
+    return ordered.withColumn("block", place + F.lit(segment << SEGMENT_BITS)).withColumn("words", words(F.col("text")))
+
+
+def one_block(chunks: pa.Table, schema: pa.Schema) -> pa.Table:
+    """The postings of one block, a row per word: a count of (word, chunk) pairs by sorting."""
+    chunks = chunks.sort_by("chunk_id")
+    lists = chunks.column("words").combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    length = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    n = len(length)
+    pair, tf = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), length),
+                         return_counts=True)
+    code, chunk = pair // max(n, 1), pair % max(n, 1)
+    dl, at = length[chunk], np.searchsorted(code, np.arange(len(coded.dictionary) + 1))
+    order = np.lexsort((dl, tf, code))
+    best = order[np.flatnonzero(np.r_[True, (np.diff(code[order]) != 0) | (np.diff(tf[order]) != 0)][: len(order)])]
+    ends = pa.array(at, pa.int32())
+    lists_of = lambda values, kind, cuts=ends: pa.ListArray.from_arrays(cuts, pa.array(values, kind))
+    pairs = pa.StructArray.from_arrays([pa.array(tf[best], pa.int32()), pa.array(dl[best], pa.int32())], ["tf", "dl"])
+    return pa.Table.from_arrays([
+        pa.array([chunks.column("source")[0].as_py()] * (len(at) - 1), pa.string()), coded.dictionary,
+        pa.array([chunks.column("block")[0].as_py()] * (len(at) - 1), pa.int64()), pa.array(np.diff(at), pa.int32()),
+        pa.ListArray.from_arrays(pa.array(np.searchsorted(code[best], np.arange(len(at))), pa.int32()), pairs),
+        lists_of(chunks.column("chunk_id").combine_chunks().to_numpy()[chunk], pa.int64()),
+        lists_of(tf, pa.int32()), lists_of(dl, pa.int32())], schema=schema)
 
 
-def block_postings(post: DataFrame) -> DataFrame:
-    """(source, term, block, n, tops, ids, tfs, dls) from (source, block, chunk_id, term, tf, dl).
+def block_postings(chunks: DataFrame) -> DataFrame:
+    """(source, term, block, n, tops, ids, tfs, dls) from chunks (source, block, chunk_id, words).
 
     ``tops`` has, for each tf in the block, its smallest dl: saturation rises with tf and falls with
     dl, so the best of these pairs is the block's maximum whatever the mean length of the corpus
-    becomes. Range partitions by (source, term, block) need no second shuffle to group, and keep the
-    postings of a word together in the files.
+    becomes. A task gets whole blocks of bounded size; its rows are sorted by word, so that readers
+    can skip row groups.
     """
-    tf, dl = F.col("tf").cast("int"), F.col("dl").cast("int")
-    rows = post.select("source", "term", "block", "chunk_id", tf.alias("tf"), dl.alias("dl"))
-    held = rows.repartitionByRange("source", "term", "block").groupBy("source", "term", "block").agg(
-        F.sort_array(F.collect_list(F.struct("chunk_id", "tf", "dl"))).alias("e"))
-    least = lambda t: F.array_min(F.transform(F.filter("e", lambda p: p["tf"] == t), lambda p: p["dl"]))
-    tops = F.transform(F.array_distinct("e.tf"), lambda t: F.struct(t.alias("tf"), least(t).alias("dl")))
-    return held.select("source", "term", "block", F.size("e").alias("n"), tops.alias("tops"), F.col("e.chunk_id").alias("ids"),
-                       F.col("e.tf").alias("tfs"), F.col("e.dl").alias("dls")).sortWithinPartitions("source", "term", "block")
+    schema = pa.schema([("source", pa.string()), ("term", pa.string()), ("block", pa.int64()), ("n", pa.int32()),
+                        ("tops", pa.list_(pa.struct([("tf", pa.int32()), ("dl", pa.int32())]))),
+                        ("ids", pa.list_(pa.int64())), ("tfs", pa.list_(pa.int32())), ("dls", pa.list_(pa.int32()))])
+    rows = chunks.select("source", "block", F.col("chunk_id").cast("long").alias("chunk_id"), "words")
+    return rows.groupBy("source", "block").applyInArrow(
+        lambda t: one_block(t, schema), "source string, term string, block long, n int, tops array<struct<tf:int,dl:int>>, "
+        "ids array<long>, tfs array<int>, dls array<int>").sortWithinPartitions("source", "term", "block")
 
 
 def block_rows(blocks: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from screenwell.functions.text import words
 from screenwell.operators.sampling import top_per_group
@@ -15,9 +17,8 @@ from screenwell.session import broadcast_checked, cut_lineage
 DIGITS = 6
 # Bounds are compared with scores rounded to DIGITS.
 SLACK = 1e-5
-NO_HITS = pd.DataFrame({c: pd.Series([], dtype=object) for c in ("query_id", "source", "chunk_id", "score")})
 GROUP = ["query_id", "source"]
-FIRST_BLOCKS, MORE = 4, 16
+FIRST_BLOCKS, MORE = 4, 1024
 TERMS_PUSHED = 512
 QUERIES_PER_TASK, QUERY_ROWS = 2048, 256
 
@@ -42,49 +43,53 @@ def weighted_terms(terms: DataFrame, stats: DataFrame) -> DataFrame:
 def block_bounds(blocks: DataFrame, used: DataFrame) -> DataFrame:
     """(query_id, source, block, bound, place): the most a block's chunks can score for a query, and
     its place among the query's blocks. Only block heads are read here, no postings."""
-    heads = blocks.select("source", "term", "block", "tops")
-    sums = heads.join(broadcast_checked(used), ["source", "term"]).groupBy(*GROUP, "block").agg(
-        F.sum(F.greatest(F.col("weight") * block_top(), F.lit(0.0))).alias("bound"))
+    means = used.select("source", "term", "avg_dl").distinct()
+    heads = blocks.select("source", "term", "block", "tops").join(broadcast_checked(means), ["source", "term"]).select(
+        "source", "term", "block", block_top().alias("top"))
+    sums = heads.join(broadcast_checked(used.where("weight > 0").drop("avg_dl")), ["source", "term"]).groupBy(
+        *GROUP, "block").agg(F.sum(F.col("weight") * F.col("top")).alias("bound"))
     order = Window.partitionBy(*GROUP).orderBy(F.desc("bound"), "block")
     return sums.where("bound > 0").withColumn("place", F.row_number().over(order))
 
 
-def block_scores(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
+def block_scores(left: pa.Table, right: pa.Table, k: int, schema: pa.Schema) -> pa.Table:
     """The ``k`` best chunks of one block for each of some queries, none below its threshold.
 
     ``left``: query_id, source, terms, weights, avg_dl, least; ``right``: term, ids, tfs, dls.
     """
-    if left.empty or right.empty:
-        return NO_HITS
-    sizes = right["ids"].str.len().to_numpy()
-    ids, column = np.unique(np.concatenate(right["ids"].to_list()), return_inverse=True)
-    tf, dl = (np.concatenate(right[c].to_list()).astype(float) for c in ("tfs", "dls"))
-    sat = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / left["avg_dl"].iloc[0]))
-    table = np.zeros((len(right), len(ids)))
-    table[np.repeat(np.arange(len(right)), sizes), column] = sat
-    row_of = {term: i for i, term in enumerate(right["term"])}
-    out_q, out_i, out_s = [], [], []
-    for at in range(0, len(left), QUERY_ROWS):
-        some = left.iloc[at:at + QUERY_ROWS]
-        weights = np.zeros((len(some), len(right)))
-        for i, (terms, values) in enumerate(zip(some["terms"], some["weights"], strict=True)):
-            for term, value in zip(terms, values, strict=True):
-                if term in row_of:
-                    weights[i, row_of[term]] += value
+    if not left.num_rows or not right.num_rows:
+        return schema.empty_table()
+    flat = lambda table, c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sizes = lambda table, c: table.column(c).combine_chunks().value_lengths().to_numpy()
+    ids, column = np.unique(flat(right, "ids"), return_inverse=True)
+    tf, dl = (flat(right, c).astype(float) for c in ("tfs", "dls"))
+    table = np.zeros((right.num_rows, len(ids)))
+    table[np.repeat(np.arange(right.num_rows), sizes(right, "ids")), column] = tf * (K1 + 1) / (
+        tf + K1 * (1 - B + B * dl / left.column("avg_dl")[0].as_py()))
+    row = pc.index_in(left.column("terms").combine_chunks().flatten(), right.column("term").combine_chunks())
+    row = row.fill_null(-1).to_numpy(zero_copy_only=False)
+    query = np.repeat(np.arange(left.num_rows), sizes(left, "terms"))
+    weight, known = flat(left, "weights"), row >= 0
+    query, row, weight = query[known], row[known], weight[known]
+    asked, low = left.column("query_id").combine_chunks(), left.column("least").to_numpy()
+    out = []
+    for at in range(0, left.num_rows, QUERY_ROWS):
+        n = min(QUERY_ROWS, left.num_rows - at)
+        own = slice(*np.searchsorted(query, [at, at + n]))
+        weights = np.zeros((n, right.num_rows))
+        weights[query[own] - at, row[own]] = weight[own]
         scores = np.round(weights @ table, DIGITS)
-        least = np.maximum(some["least"].to_numpy(), 10.0 ** -DIGITS)
+        least = np.maximum(low[at:at + n], 10.0 ** -DIGITS)
         if len(ids) > k:
             least = np.maximum(least, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k])
         q, c = np.nonzero(scores >= least[:, None])
         order = np.lexsort((-ids[c], -scores[q, c], q))
         q, c = q[order], c[order]
-        rank = np.arange(len(q)) - np.searchsorted(q, q)
-        q, c = q[rank < k], c[rank < k]
-        out_q.append(some["query_id"].to_numpy()[q])
-        out_i.append(ids[c])
-        out_s.append(scores[q, c])
-    found = np.concatenate(out_q)
-    return pd.DataFrame({"query_id": found, "source": left["source"].iloc[0], "chunk_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        q, c = q[keep], c[keep]
+        out.append(pa.Table.from_arrays([asked.take(pa.array(q + at)), pa.array([left.column("source")[0].as_py()] * len(q), pa.string()),
+                                         pa.array(ids[c], pa.int64()), pa.array(scores[q, c])], schema=schema))
+    return pa.concat_tables(out)
 
 
 def scored(blocks: DataFrame, packed: DataFrame, pairs: DataFrame, k: int, ways: int) -> DataFrame:
@@ -94,14 +99,15 @@ def scored(blocks: DataFrame, packed: DataFrame, pairs: DataFrame, k: int, ways:
     such set of queries, each query with its words as arrays, and the scores are one product of
     matrices inside the task.
     """
-    kind = packed.schema["query_id"].dataType.simpleString()
+    kind = packed.schema["query_id"].dataType
+    schema = pa.schema([("query_id", to_arrow_type(kind)), ("source", pa.string()), ("chunk_id", pa.int64()), ("score", pa.float64())])
     way = F.pmod(F.xxhash64("query_id"), F.lit(ways)).cast("int")
     left = pairs.join(packed, GROUP).select(*GROUP, "block", "least", "terms", "weights", "avg_dl", way.alias("way"))
     wanted = pairs.select("source", "block", way.alias("way")).distinct()
     right = blocks.select("source", "block", "term", "ids", "tfs", "dls").join(broadcast_checked(wanted), ["source", "block"])
     key = ["source", "block", "way"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-        lambda a, b: block_scores(a, b, k), f"query_id {kind}, source string, chunk_id long, score double")
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
+        lambda a, b: block_scores(a, b, k, schema), f"query_id {kind.simpleString()}, source string, chunk_id long, score double")
 
 
 def bm25_top(blocks: DataFrame, stats: DataFrame, terms: DataFrame, k: int = 20) -> DataFrame:

@@ -36,12 +36,11 @@ def number_chunks(df: DataFrame, key: str = "doc_id", width: int = 1_000_000) ->
 
 
 def postings(chunks: DataFrame, text: str = "text") -> DataFrame:
-    """(source, chunk_id, term, tf, dl), one row per distinct word of a chunk, and its ``block``
-    where the chunks have one.
+    """(source, chunk_id, term, tf, dl), one row per distinct word of a chunk.
 
     Word counts are taken inside the chunk's own row, so building postings needs no shuffle.
     """
-    keys = [c for c in ("source", "block", "chunk_id") if c in chunks.columns]
+    keys = ["source", "chunk_id"]
     listed = chunks.select(*keys, words(F.col(text)).alias("_words"))
     size = F.size("_words").alias("dl")
     # Counted before the explode, so that no output row carries the word list.

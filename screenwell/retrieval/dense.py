@@ -35,7 +35,12 @@ def hashing_encoder(dim: int = 64) -> Callable[[Column], Column]:
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return pd.Series(list(out / np.where(norm > 0, norm, 1.0)))
 
-    return lambda text: encode(words(text))
+    return lambda text, split=True: encode(words(text) if split else text)
+
+
+def embed_words(df: DataFrame, listed: str, out: str = "vector") -> DataFrame:
+    """The default encoder on words that are split already."""
+    return df.withColumn(out, hashing_encoder()(F.col(listed), split=False))
 
 
 def embed(df: DataFrame, text: str, out: str = "vector",

@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from screenwell.functions.text import words
 from screenwell.retrieval.blocks import block_postings, in_blocks
-from screenwell.retrieval.chunks import corpus_stats, postings
-from screenwell.retrieval.dense import embed
+from screenwell.retrieval.chunks import corpus_stats
+from screenwell.retrieval.dense import embed, embed_words
 from screenwell.session import checkpoint_folder
 
 
@@ -84,12 +83,12 @@ def _write_segment(spark: SparkSession, folder: str, number: int, chunks: DataFr
         schemas[table] = json.loads(StructType(sorted(df.schema.fields, key=lambda f: split and f.name == "source")).json())
         return spark.read.schema(StructType.fromJson(schemas[table])).parquet(path)
 
-    held = stored("chunks", in_blocks(chunks, number).withColumn("n_words", F.coalesce(F.size(words(F.col("text"))), F.lit(0))))
-    blocks = stored("postings", block_postings(postings(held)))
+    held = stored("chunks", in_blocks(chunks, number).withColumn("n_words", F.coalesce(F.size("words"), F.lit(0))))
+    blocks = stored("postings", block_postings(held))
     stored("terms", blocks.groupBy("source", "term").agg(F.sum("n").alias("df")), False)
     stored("totals", held.groupBy("source").agg(F.count("*").alias("n_chunks"), F.sum("n_words").alias("n_words")), False)
     if vectors is None:
-        vectors = embed(held, "text", "vector", encoder)
+        vectors = embed(held, "text", "vector", encoder) if encoder else embed_words(held, "words", "vector")
     stored("vectors", vectors.select("source", "chunk_id", "vector"))
     return {"name": name, "number": number, "schemas": schemas}
 
@@ -139,7 +138,7 @@ def append_chunks(spark: SparkSession, folder: str, chunks: DataFrame, encoder=N
 def merge_segments(spark: SparkSession, folder: str) -> None:
     """One segment in place of all: blocks are cut anew, vectors are taken over."""
     now = latest(spark, folder)
-    chunks = _table(spark, folder, now["segments"], "chunks").drop("block", "n_words")
+    chunks = _table(spark, folder, now["segments"], "chunks").drop("block", "words", "n_words")
     number = 1 + max(s["number"] for s in now["segments"])
     one = _write_segment(spark, folder, number, chunks, vectors=_table(spark, folder, now["segments"], "vectors"))
     _commit(spark, folder, now["version"] + 1, [one])
@@ -152,7 +151,7 @@ def load_index(spark: SparkSession, folder: str, sources: list[str] | None = Non
         raise FileNotFoundError(f"no index in {folder}")
     chunks, post, vectors = (_table(spark, folder, now["segments"], t) for t in ("chunks", "postings", "vectors"))
     stats = spark.read.schema(StructType.fromJson(now["stats_schema"])).parquet(f"{folder}/{now['stats']}")
-    index = Index(chunks.drop("block", "n_words"), post, stats, vectors)
+    index = Index(chunks.drop("block", "words", "n_words"), post, stats, vectors)
     return index if sources is None else index.select(lambda t: t.where(F.col("source").isin(sources)))
 
 

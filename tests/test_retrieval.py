@@ -73,7 +73,7 @@ def test_bm25_equals_brute_force(spark, monkeypatch, bits, first):
     chunks = spark.createDataFrame(rows, chunks.schema)
     texts = ["w0 w1 w2 w0", "w30 w0 w45", "w50 w51 w52 w53 w1", "w0", "unknown"]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id long, query_text string")
-    blocks = cut_lineage(block_postings(postings(cut_lineage(in_blocks(chunks, bits=bits)))))
+    blocks = cut_lineage(block_postings(cut_lineage(in_blocks(chunks, bits=bits))))
     stats = build_index(chunks).term_stats
     got = by_query(bm25_top(blocks, stats, query_terms(queries), 5))
     for q, text in enumerate(texts):
@@ -91,8 +91,8 @@ def test_bm25_scores_few_blocks_of_rare_words(spark, monkeypatch):
     monkeypatch.setattr(bm25, "scored", lambda b, p, pairs, k, ways: seen.append(pairs.count()) or whole(b, p, pairs, k, ways))
     rng = random.Random(5)
     rows = [(i, "a", " ".join([f"rare{i // 8}"] + [WORDS[rng.randrange(20)] for _ in range(12)])) for i in range(2000)]
-    blocks = cut_lineage(block_postings(postings(cut_lineage(in_blocks(
-        spark.createDataFrame(rows, "chunk_id long, source string, text string"), bits=3)))))
+    blocks = cut_lineage(block_postings(cut_lineage(in_blocks(
+        spark.createDataFrame(rows, "chunk_id long, source string, text string"), bits=3))))
     stats = build_index(spark.createDataFrame(rows, "chunk_id long, source string, text string")).term_stats
     for n in (20, 200):
         queries = spark.createDataFrame([(q, f"rare{q} w1 w2 w3") for q in range(n)], "query_id long, query_text string")
@@ -107,7 +107,7 @@ def test_blocks_hold_every_posting_once(spark):
     assert placed.groupBy("source", "block").count().where("count > 4").isEmpty()
     assert placed.where("block < 3 * shiftleft(1L, 47)").isEmpty()
     post = postings(chunks)
-    rows = block_rows(block_postings(postings(placed))).select(post.columns)
+    rows = block_rows(block_postings(placed)).select(post.columns)
     assert rows.exceptAll(post).isEmpty() and post.exceptAll(rows).isEmpty()
 
 

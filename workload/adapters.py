@@ -255,10 +255,10 @@ def corpus_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return number_chunks(chunk_text(docs)).drop("chunk_no", "doc_id")
 
 
-def index_folder(spark: SparkSession, sf: str) -> str:
-    """The stored index of all documents: built by the first query that asks, then loaded."""
+def index_folder(spark: SparkSession, sf: str, anew: bool = False) -> str:
+    """The stored index of all documents: built by the first query that asks, or ``anew``, then loaded."""
     key = spark.sparkContext.applicationId, sf
-    if key not in STORED:
+    if anew or key not in STORED:
         folder = fresh_folder(spark, "index")
         create_index(spark, folder, corpus_chunks(spark, sf))
         STORED[key] = folder
