@@ -148,3 +148,25 @@ def test_drift_of_shifted_and_equal_columns(spark):
     assert small["age"].test == "ks" and small["age"].drifted and small["gender"].test == "z"
     whole = drift.dataset_drift(drift.drift_table(ref, cur)).first()
     assert whole.dataset_drift and whole.drift_share == 1.0
+
+
+def test_running_sums_place_rows_by_range(spark):
+    """One group over many tasks; no list of cut points in the plan of a row."""
+    df = spark.range(4000).select(F.lit("g").alias("g"), (F.col("id") * 7919 % 4001).alias("v"), F.lit(1).cast("long").alias("n"))
+    out = running_sums(df, ["g"], "v", ["n"], 16)
+    plan = out._jdf.queryExecution().toString()
+    assert "_cuts" not in plan and "filter(" not in plan.lower().replace("filter (", "")
+    rows = out.orderBy("v").collect()
+    assert [r.before_n for r in rows] == list(range(4000)) and {r.total_n for r in rows} == {4000}
+
+
+def test_trailing_counts_of_one_key_and_long_lines(spark):
+    rng = random.Random(2)
+    times = sorted(rng.randrange(3000) for _ in range(800))
+    rows = [("hot", t) for t in times] + [(None, 5), (None, 20), ("x", None)]
+    df = spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("t"), "s")
+    for slices in (1, 16):
+        out = trailing_requests(df, "k", "t", 10, 60, slices)
+        for r in out.collect():
+            want = None if r.s is None else sum(1 for k, s in rows if k == r.k and s is not None and r.s - 60 < s <= r.s) - 1
+            assert (r.recent, r.over_limit) == (want, None if want is None else want >= 10)
