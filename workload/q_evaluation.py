@@ -174,6 +174,27 @@ def _(spark, sf):
     return ev.fairness_disparity(back)
 
 
+@query("a14_fairness_all_slices", f"""WITH {SLICED}
+SELECT slice_col, slice_val, n, round(weighted_f1, 6) AS weighted_f1,
+  round(k, 6) AS quadratic_kappa FROM wf JOIN kap USING (slice_col, slice_val)""")
+def _(spark, sf):
+    return rounded(ev.fairness_slices(A.predictions(spark, sf)), "weighted_f1", "quadratic_kappa")
+
+
+@query("a15_fairness_disparity_all_slices", f"""WITH {SLICED}
+SELECT slice_col, round(max(weighted_f1) - min(weighted_f1), 4) AS f1_disparity
+FROM wf GROUP BY 1""")
+def _(spark, sf):
+    """The slice table goes through its CSV export."""
+    from screenwell.sources.files import write_csv
+
+    path = A.fresh_folder(spark, "fairness")
+    slices = ev.fairness_slices(A.predictions(spark, sf))
+    write_csv(slices, path)
+    back = spark.read.schema(slices.schema).option("header", True).csv(path)
+    return ev.fairness_disparity(back)
+
+
 @query("a16_positive_weight", """SELECT count(*) AS n, sum(toxic)::BIGINT AS n_pos,
   round(CASE WHEN sum(toxic) > 0 THEN least(20, 2 * (count(*) - sum(toxic)) / sum(toxic))
     ELSE 1 END, 6) AS positive_weight FROM labels""")

@@ -113,11 +113,12 @@ def _(spark, sf):
         F.size("active_symptoms").alias("n_symptoms"))
 
 
-def model_scores(spark, sf):
-    """Scores for two of three records, as a text model would give them."""
+def model_scores(spark, sf, every=False):
+    """Scores as a text model would give them: for two of three records, as narratives without a
+    score take another way, or for ``every`` one."""
     r = F.col("record_id")
     probs = F.array(*[((r * (i + 3)) % 100) / F.lit(100.0) for i in range(7)])
-    df = A.records(spark, sf).filter(r % 3 != 0).select(
+    df = A.records(spark, sf).filter(F.lit(every) | (r % 3 != 0)).select(
         "record_id", probs.alias("symptom_prob"),
         (((r * 17) % 100) / F.lit(100.0)).alias("ideation_prob"))
     return triage.threshold_symptoms(df)
@@ -140,6 +141,15 @@ def _(spark, sf):
         F.col("symptom_probabilities")["suicidal_ideation"].alias("prob_suicidal_ideation"))
 
 
+@query("t05_threshold_predictions_all", f"""WITH {A.REC}, {MODEL.replace("WHERE record_id % 3 <> 0", "")}
+SELECT record_id, array_to_string(active, ' | ') AS active_symptoms, p >= 0.4 AS ideation_positive,
+  symptom_prob[3] AS prob_suicidal_ideation FROM act""")
+def _(spark, sf):
+    return model_scores(spark, sf, every=True).select(
+        "record_id", joined("active_symptoms"), "ideation_positive",
+        F.col("symptom_probabilities")["suicidal_ideation"].alias("prob_suicidal_ideation"))
+
+
 FUSED = f"""{RISK}, {MODEL}, fused AS (
   SELECT r.* EXCLUDE (suicidal_ideation_positive, suicidal_ideation_prob, severity_score),
     CASE WHEN p IS NULL THEN si ELSE p >= 0.4 OR phq9_suicidal_ideation > 0 END
@@ -292,6 +302,19 @@ def _(spark, sf):
     return care_plan.add_care_plan(df, "reply", cap_lines=5).select("record_id", joined("care_plan_suggestions"))
 
 
+@query("t07_plan_replies_all_lines", f"""WITH {RISK}, pl AS (
+  SELECT *, record_id % 5 AS m, 'Consider: step ' || record_id AS a, {PLAN} AS s FROM risk)
+SELECT record_id, CASE WHEN m IN (0, 1) THEN a || ' | Consider: b'
+  WHEN m = 2 THEN a || ' | Consider: 2 | Consider: 3 | Consider: 4 | Consider: 5 | Consider: 6'
+  WHEN m = 3 THEN ''
+  WHEN len(s) = 0 THEN {TEXT(V.SUGGEST_ROUTINE)} ELSE array_to_string(s, ' | ') END
+  AS care_plan_suggestions FROM pl""")
+def _(spark, sf):
+    df = triage.stratify_risk(A.scored(spark, sf)).withColumn(
+        "reply", plan_reply(F.col("record_id")))
+    return care_plan.add_care_plan(df, "reply").select("record_id", joined("care_plan_suggestions"))
+
+
 @query("t08_context_texts", f"""WITH {RISK}, pl AS (SELECT *, {PLAN} AS s FROM risk), p2 AS (
   SELECT *, CASE WHEN len(s) = 0 THEN [{TEXT(V.SUGGEST_ROUTINE)}] ELSE s END AS t FROM pl)
 SELECT record_id,
@@ -313,6 +336,27 @@ def _(spark, sf):
         "record_id", "plan_context", "record_summary", "plan_summary")
 
 
+@query("t08_context_texts_whole", f"""WITH {RISK}, pl AS (SELECT *, {PLAN} AS s FROM risk), p2 AS (
+  SELECT *, CASE WHEN len(s) = 0 THEN [{TEXT(V.SUGGEST_ROUTINE)}] ELSE s END AS t FROM pl)
+SELECT record_id,
+  'PHQ-9 total: ' || phq9_total || ' (' || phq9_band || ')' || chr(10) || 'GAD-7 total: '
+    || gad7_total || ' (' || gad7_band || ')' || chr(10) || 'Suicidal ideation positive: '
+    || CASE WHEN suicidal_ideation_positive THEN 'True' ELSE 'False' END || chr(10)
+    || 'Active symptoms: ' || chr(10) || 'DSM context: ' || {TEXT(V.NO_INDEX_CONTEXT)} || chr(10)
+    || 'Citations: 0 retrieved' || chr(10) AS plan_context,
+  'PHQ-9: ' || phq9_total || ' (' || phq9_band || ')' || chr(10) || 'GAD-7: ' || gad7_total
+    || ' (' || gad7_band || ')' || chr(10) || 'Active symptoms from NLP: none detected' || chr(10)
+    || 'Suicidal ideation (MentalBERT): ' || printf('%.2f', suicidal_ideation_prob) || chr(10)
+    || 'Suicidal ideation (PHQ-9 item 9): ' || phq9_suicidal_ideation || chr(10)
+    || 'Narrative: ' || narrative AS record_summary,
+  'DSM differential: not specified' || chr(10) || 'Care plan suggestions:' || chr(10)
+    || array_to_string(list_transform(t, lambda x: '  - ' || x), chr(10)) AS plan_summary FROM p2""")
+def _(spark, sf):
+    df = care_plan.add_care_plan(add_literature(triage.stratify_risk(A.scored(spark, sf))))
+    return care_plan.verifier_context(care_plan.plan_context(df)).select(
+        "record_id", "plan_context", "record_summary", "plan_summary")
+
+
 CLASSIFY = """CASE WHEN signal THEN 'escalate' ELSE 'routine' END"""
 
 
@@ -382,6 +426,18 @@ def _(spark, sf):
         F.round(total, 3).alias("total"))
 
 
+@query("t18_all_item_contributions", f"""WITH {A.REC}, c AS (
+  SELECT record_id, list_reverse(list_sort([{CONTRIB}])) AS top FROM rec)
+SELECT record_id, array_to_string(list_transform(top, lambda x: x.n), ' | ') AS names,
+  list_sum(list_transform(top, lambda x: x.s)) ::DECIMAL(10, 3)::DOUBLE AS total FROM c""")
+def _(spark, sf):
+    out = triage.item_contributions(A.records(spark, sf))
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, x: acc + x["score"])
+    return out.select("record_id", F.array_join(F.transform(
+        "contributions", lambda x: x["name"]), " | ").alias("names"),
+        F.round(total, 3).alias("total"))
+
+
 @query("r12_l04_literature_query", f"""WITH {FUSED}, q AS (
   SELECT record_id, concat_ws(' ',
     CASE WHEN {RAISED} THEN 'Major Depressive Disorder' WHEN phq9_band = 'mild'
@@ -396,6 +452,20 @@ def _(spark, sf):
     return triage.literature_query(triage.stratify_risk(df), max_symptoms=3).select("record_id", "query_text")
 
 
+@query("r12_literature_query_all_symptoms", f"""WITH {FUSED}, q AS (
+  SELECT record_id, concat_ws(' ',
+    CASE WHEN {RAISED} THEN 'Major Depressive Disorder' WHEN phq9_band = 'mild'
+      THEN 'mild depression dysthymia' END,
+    CASE WHEN gad7_band IN ('moderate', 'severe') THEN 'Generalised Anxiety Disorder' END,
+    CASE WHEN suicidal_ideation_positive THEN 'suicidal ideation risk assessment escalation' END,
+    nullif(array_to_string(active, ' '), '')) AS t FROM fused)
+SELECT record_id, coalesce(nullif(t, ''), 'depression anxiety mental health') AS query_text
+FROM q""")
+def _(spark, sf):
+    df = triage.join_model_scores(A.scored(spark, sf), model_scores(spark, sf))
+    return triage.literature_query(triage.stratify_risk(df)).select("record_id", "query_text")
+
+
 # --- validation and defaults -------------------------------------------------------------------
 
 def shifted(df):
