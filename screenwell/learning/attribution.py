@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenwell.session import checkpoint_folder
+from screenwell.session import own_folder
 
 
 @dataclass
@@ -32,7 +32,7 @@ class Leaf:
 def exported(model: Model, df: DataFrame) -> pd.DataFrame:
     """The nodes of a fitted ensemble, which are its parameters: at most trees x 2^(depth + 1) rows."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/trees-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/trees-{uuid.uuid4().hex}"
     model.write().save(path)
     return spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_FOLDERS: dict[tuple[str, str], str] = {}
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
@@ -25,13 +27,30 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def own_folder(spark: SparkSession) -> str:
+    """This application's folder in the shared location; deleted when the driver's program ends,
+    if its session still runs then."""
+    context = spark.sparkContext
+    key = checkpoint_folder(spark), context.applicationId
+    if key not in _FOLDERS:
+        _FOLDERS[key] = f"{key[0].rstrip('/')}/screenwell-{key[1]}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_delete, context, _FOLDERS[key])
+    return _FOLDERS[key]
+
+
+def _delete(context, folder: str) -> None:
+    if context._jsc is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     The result survives the loss of executors, is read column-wise, and tells the optimizer its
-    size, so that small results are broadcast and large ones are not.
+    size, so that small results are broadcast and large ones are not. It lies in ``own_folder``.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    path = f"{own_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -29,14 +29,23 @@ def screening_schema() -> T.StructType:
     return T.StructType(fields)
 
 
-def read_posts(spark: SparkSession, *globs: str) -> DataFrame:
+def header_schema(spark: SparkSession, glob: str) -> T.StructType:
+    """All-string schema from the header of the files of ``glob``: the first line of one of them."""
+    first = spark.read.option("header", True).option("escape", '"').csv(glob)
+    return T.StructType([T.StructField(c, T.StringType()) for c in first.columns])
+
+
+def read_posts(spark: SparkSession, *globs: str, schemas: list[T.StructType] | None = None) -> DataFrame:
     """CSV files with a header, quoted multi-line bodies and doubled quotes; all strings.
 
-    Files of one glob share a header; several globs are united by column name, a column that
-    one of them lacks being NULL there.
+    Files of one glob share a header and are read with its explicit schema (``schemas`` gives one
+    for each glob, else the header tells it); a file with another header fails instead of being
+    misread. Several globs are united by column name, a column that one of them lacks being NULL
+    there.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    first, *others = [reader.csv(g) for g in globs]
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False)
+    kinds = schemas or [header_schema(spark, g) for g in globs]
+    first, *others = [reader.schema(kind).csv(g) for g, kind in zip(globs, kinds, strict=True)]
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
     return first

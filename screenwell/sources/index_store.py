@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from screenwell.retrieval.blocks import block_postings, in_blocks
 from screenwell.retrieval.chunks import corpus_stats
 from screenwell.retrieval.dense import embed, embed_words
-from screenwell.session import checkpoint_folder
+from screenwell.session import own_folder
 
 
 @dataclass
@@ -158,6 +158,6 @@ def load_index(spark: SparkSession, folder: str, sources: list[str] | None = Non
 def build_index(chunks: DataFrame, encoder=None) -> Index:
     """An index over chunks in a new folder of the shared location."""
     spark = chunks.sparkSession
-    folder = f"{checkpoint_folder(spark)}/index-{uuid.uuid4().hex}"
+    folder = f"{own_folder(spark)}/index-{uuid.uuid4().hex}"
     create_index(spark, folder, chunks, encoder)
     return load_index(spark, folder)

@@ -14,7 +14,8 @@ from screenwell.operators.running import running_sums
 from screenwell.sources.audit_log import append_log, log_schema, read_log
 from screenwell.streaming.audit import stream_log, with_event_time, without_replays
 from screenwell.streaming.rate_limit import admit_stream
-from screenwell.streaming.run import drain
+from screenwell.streaming.audit import verdicts_per_period
+from screenwell.streaming.run import drain, drain_updates
 
 START = datetime(2024, 1, 1)
 
@@ -170,3 +171,22 @@ def test_trailing_counts_of_one_key_and_long_lines(spark):
         for r in out.collect():
             want = None if r.s is None else sum(1 for k, s in rows if k == r.k and s is not None and r.s - 60 < s <= r.s) - 1
             assert (r.recent, r.over_limit) == (want, None if want is None else want >= 10)
+
+
+def test_periods_in_update_mode_over_triggers(spark, tmp_path):
+    """Each trigger changes some periods; the newest row of each is that of a batch run."""
+    rows = [(f"{i}", 1_700_000_000 + i * 40_000, "routine") for i in range(60)]
+    kind = "log_id string, s long, safety_verdict string"
+    for part in range(3):
+        spark.createDataFrame(rows[part * 20:part * 20 + 20], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def periods(df):
+        log = df.select("log_id", "safety_verdict", F.timestamp_seconds("s").alias("t"), F.lit(False).alias("deterministic_escalation"))
+        return verdicts_per_period(log, "t", "1 week", "1 day")
+
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = drain_updates(periods(stream), ["period_start", "period_end"])
+    want = periods(spark.createDataFrame(rows, kind))
+    assert got.select(want.columns).exceptAll(want).isEmpty() and got.count() == want.count() > 20
+    none = spark.readStream.schema(kind).parquet(str(tmp_path / "none" if (tmp_path / "none").mkdir() is None else ""))
+    assert drain_updates(periods(none), ["period_start", "period_end"]).count() == 0

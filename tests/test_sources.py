@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from screenwell.operators.cohort import clean_posts, first_copy, split_by_user
@@ -50,6 +51,19 @@ def test_cohort_job(spark, tmp_path):
         assert "PartitionFilters: [isnotnull(split" in part._jdf.queryExecution().toString()
 
 
+def test_posts_have_an_explicit_schema(spark, tmp_path):
+    own = tmp_path / "posts"
+    own.mkdir()
+    (own / "a.csv").write_text("author,created_utc\nann,007\n")
+    posts = read_posts(spark, f"{own}/*.csv")
+    assert posts.dtypes == [("author", "string"), ("created_utc", "string")] and posts.first().created_utc == "007"
+    given = read_posts(spark, f"{own}/*.csv", schemas=[posts.schema])
+    assert given.collect() == posts.collect()
+    (own / "b.csv").write_text("created_utc,author\n1,bob\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_posts(spark, f"{own}/*.csv", schemas=[posts.schema]).collect()
+
+
 def test_strict_markers_and_length(spark, tmp_path):
     posts = read_posts(spark, *cohort_files(tmp_path))
     assert clean_posts(posts, strict=True).filter("author = 'cat'").count() == 0

@@ -16,7 +16,7 @@ from screenwell.fixed_values import (ALL_ITEMS, BAND_SCORES, GAD_BANDS, GAD_ITEM
 from screenwell.functions.hashing import bucket
 from screenwell.operators.triage import score_record
 from screenwell.retrieval.chunks import chunk_text, number_chunks
-from screenwell.session import checkpoint_folder, cut_lineage, spread
+from screenwell.session import cut_lineage, own_folder, spread
 from screenwell.sources.index_store import create_index, load_index
 
 # Multipliers that spread the 16 item values (fixed values of the adapter).
@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared location."""
-    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def text_sql(value: str) -> str:

@@ -11,7 +11,7 @@ from screenwell.sources import audit_log as log_files
 from screenwell.sources.files import write_csv
 from screenwell.streaming import audit as streams
 from screenwell.streaming.rate_limit import admit_stream
-from screenwell.streaming.run import drain
+from screenwell.streaming.run import drain, drain_updates
 from workload import adapters as A
 from workload.q_records import VERDICT
 from workload.registry import query
@@ -307,6 +307,19 @@ def _(spark, sf):
                         "n_records", *[f"n_{v}" for v in V.VERDICTS])
 
 
+@query("st2_sliding_periods_stream", f"""WITH {A.LOG}, w AS (
+  SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') - INTERVAL (g) DAY AS b, log.*
+  FROM log, range(7) AS r(g)), s AS (
+  SELECT strftime(b, '%Y-%m-%d') AS period_start, count(*) AS n_records, {COUNTS} FROM w
+  GROUP BY 1) SELECT * FROM s""")
+def _(spark, sf):
+    """The same periods from a stream in update mode."""
+    log = A.add_log_columns(score_record(A.add_record_columns(event_stream(spark, sf))))
+    table = drain_updates(streams.verdicts_per_period(log, "ts", slide="1 day"), ["period_start", "period_end"])
+    return table.select(F.date_format("period_start", "yyyy-MM-dd").alias("period_start"),
+                        "n_records", *[f"n_{v}" for v in V.VERDICTS])
+
+
 @query("st4_triage_stream", f"""WITH {VERDICT}
 SELECT record_id, phq9_band, safety_verdict FROM ver""")
 def _(spark, sf):

@@ -696,7 +696,26 @@ def _(spark, sf):
         F.col("c_name"), 100, "md5").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query("f16_murmur_bucket")
+# Murmur3 of 32 bits over the bytes of an ASCII text: whole words of four bytes, then single bytes.
+WORD = 1 << 32
+BYTE = "ord(substr(c_name, {}, 1))::HUGEINT"
+MURMUR = f"""k AS (
+  SELECT c_name, length(c_name) AS n, list_concat(
+    list_transform(range(0, length(c_name) // 4), lambda i: {BYTE.format('4 * i + 1')} + 256 * {BYTE.format('4 * i + 2')}
+      + 65536 * {BYTE.format('4 * i + 3')} + 16777216 * {BYTE.format('4 * i + 4')}),
+    list_transform(range(length(c_name) // 4 * 4, length(c_name)), lambda i: {BYTE.format('i + 1')})) AS ks FROM customer), m AS (
+  SELECT c_name, n, list_transform(list_transform(list_transform(ks, lambda k: k * 3432918353 % {WORD}),
+    lambda k: k * 32768 % {WORD} + k // 131072), lambda k: k * 461845907 % {WORD}) AS ks FROM k), h AS (
+  SELECT c_name, xor(list_reduce(list_prepend(42::HUGEINT, ks), lambda h, k:
+    ((xor(h, k) * 8192 % {WORD} + xor(h, k) // 524288) * 5 + 3864292196) % {WORD}), n::HUGEINT) AS h FROM m), a AS (
+  SELECT c_name, xor(h, h // 65536) * 2246822507 % {WORD} AS h FROM h), b AS (
+  SELECT c_name, xor(h, h // 8192) * 3266489909 % {WORD} AS h FROM a), c AS (
+  SELECT c_name, xor(h, h // 65536) AS h FROM b), murmur AS (
+  SELECT c_name, CASE WHEN h >= {WORD // 2} THEN h - {WORD} ELSE h END AS h FROM c)"""
+
+
+@query("f16_murmur_bucket", f"""WITH {MURMUR}
+SELECT abs(h % 100)::INT AS bucket, count(*) AS n FROM murmur GROUP BY 1""")
 def _(spark, sf):
     return A.table(spark, sf, "customer").groupBy(hashing.bucket(
         F.col("c_name")).alias("bucket")).agg(F.count("*").alias("n"))
