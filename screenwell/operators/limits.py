@@ -24,17 +24,17 @@ def trailing_requests(df: DataFrame, key: str, time: str, limit: int = 10, windo
     """Add ``recent`` (requests of the key in the ``window`` seconds before this one, ties
     included) and ``over_limit``.
 
-    Requests are counted per (key, time) first. Each time also sends a mark ``window`` earlier; in
-    one running sum over times and marks (``running_sums``: range partitions and their totals, so a
-    key's line may span many tasks) the requests up to a time, less those up to its mark, are those
-    between. Raw rows only meet the finished (key, time) values. A row without a time stays, both
+    Requests are counted per (key, time), before the shuffle too. Each time also sends a mark
+    ``window`` earlier; in one running sum over times and marks (``running_sums``: range partitions
+    and their totals, so a key's line may span many tasks) the requests up to a time, less those up
+    to its mark, are those between. Raw rows only meet the finished (key, time) values. A row without a time stays, both
     columns NULL; rows without a key count together.
     """
     span = window * MICROS
-    counts = cut_lineage(df.where(F.col(time).isNotNull()).groupBy(F.col(key).alias("_key"), micros(time).alias("_at")).agg(
-        F.count("*").alias("_n")))
-    marks = counts.select("_key", (F.col("_at") - span).alias("_at"), F.lit(0).cast("long").alias("_n"))
-    line = counts.unionByName(marks).groupBy("_key", "_at").agg(F.sum("_n").alias("_n"), F.count_if(F.col("_n") > 0).alias("_real"))
+    at = micros(time)
+    both = F.array(F.struct(at.alias("_at"), F.lit(1).alias("_n")), F.struct((at - span).alias("_at"), F.lit(0).alias("_n")))
+    line = df.where(F.col(time).isNotNull()).select(F.col(key).alias("_key"), F.inline(both)).groupBy("_key", "_at").agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_real"))
     run = cut_lineage(running_sums(line, ["_key"], "_at", ["_n"], slices).select(
         "_key", "_at", "_real", (F.col("before__n") + F.col("_n")).alias("_upto")))
     before = run.select(F.col("_key").alias("_mark_key"), (F.col("_at") + span).alias("_mark_at"), F.col("_upto").alias("_old"))
