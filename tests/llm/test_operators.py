@@ -69,6 +69,53 @@ def test_jaccard_odd_rows(spark):
     assert jaccard.link(table(spark, [])).count() == 0
 
 
+def plain_components(rows, size, percent):
+    sets = {i: brute.shingles(t, size) for i, t in rows}
+    links = []
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) > 0:
+                links.append((a, b))
+    return brute.components(sets, links)
+
+
+@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80), (1, 60)])
+def test_jaccard_with_empty_segments_and_large_groups(spark, size, percent):
+    r = random.Random(percent)
+    rows = []
+    for length, copies in ((60, 160), (22, 60), (9, 40), (7, 40), (14, 60), (200, 20)):
+        base = [f"b{length}x{r.randrange(10 ** 6)}" for _ in range(length)]
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(r.choice([0, 1, 1, 2, 3])):
+                words[r.choice([0, 1, len(words) - 1, r.randrange(len(words))])] = f"n{r.randrange(10 ** 6)}"
+            rows.append(" ".join(words[: len(words) - r.choice([0, 0, 1, 2])]))
+    passage = [f"p{k}" for k in range(30)]
+    rows += [" ".join(passage + [f"q{r.randrange(10 ** 6)}" for _ in range(20)]) for _ in range(80)]
+    rows = list(enumerate(rows, 1))
+    got = {q.doc_id: q.component_id for q in jaccard.link(table(spark, rows), size, percent).collect()}
+    assert got == plain_components(rows, size, percent)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_share_a_first_key(percent):
+    r = np.random.default_rng(percent)
+    for _ in range(1500):
+        n = int(r.integers(2, 70))
+        own = r.integers(0, 2 ** 63, n).astype(np.uint64)
+        gone = int(r.integers(0, n // 2 + 1))
+        other = np.unique(np.concatenate([own[gone:], r.integers(0, 2 ** 63, int(r.integers(0, n // 2 + 1))).astype(np.uint64)]))
+        own = np.unique(own)
+        both = len(np.intersect1d(own, other))
+        bits = int(sum(int(x).bit_count() for x in (jaccard.parity(own) ^ jaccard.parity(other)).view(np.uint64)))
+        assert bits <= len(own) + len(other) - 2 * both
+        if 100 * both < percent * (len(own) + len(other) - both) or not len(other) or both == len(own) == len(other):
+            continue
+        keys = [{int(k) for band, count in jaccard.banded(x, percent) for f in jaccard.first_keys(x, band, count) for k in f}
+                for x in (own, other)]
+        assert keys[0] & keys[1]
+
+
 def test_segments_hold_the_largest_difference():
     for top in range(1, 400):
         for small in range(1, top + 1):
