@@ -79,8 +79,9 @@ def plain_components(rows, size, percent):
     return brute.components(sets, links)
 
 
-@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80), (1, 60)])
-def test_jaccard_with_empty_segments_and_large_groups(spark, size, percent):
+@pytest.mark.parametrize("size,percent,direct", [(3, 90, 128), (5, 80, 3)])
+def test_jaccard_with_empty_segments_and_large_groups(spark, size, percent, direct, monkeypatch):
+    monkeypatch.setattr(jaccard, "DIRECT", direct)
     r = random.Random(percent)
     rows = []
     for length, copies in ((60, 160), (22, 60), (9, 40), (7, 40), (14, 60), (200, 20)):
