@@ -40,7 +40,7 @@ class Encoder:
     strings are split by the library itself, one white-space-free run at a time.
     """
 
-    def __init__(self, path: str, leaf: int = 2048, kept: int = 400_000):
+    def __init__(self, path: str, leaf: int = 2048, kept: int = 100_000):
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
