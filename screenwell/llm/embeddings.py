@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenwell.llm.graph import components
-from screenwell.llm.store import Scratch
+from screenwell.llm.store import Scratch, small
 
 BITS = 60
 
 
 def passes_for(rows: int, cosine: float, window: int, miss: float) -> int:
-    """Passes after which a pair at the threshold is missed with probability ``miss`` at most.
+    """Passes of a round: as many as miss a pair at the threshold with probability ``miss`` at most in
+    vectors spread evenly; whether they do is measured.
 
     Two vectors at angle t share a random hash bit with probability 1 - t / pi, and meet in a
     window when they share about log2(rows / window) bits of a pass.
@@ -51,23 +52,60 @@ def links_in_order(x: np.ndarray, group: np.ndarray, window: int, cosine: float)
     return np.array([find(i) for i in range(len(x))])
 
 
-def in_passes(nodes: DataFrame, width: int, passes: int, window: int, block: int, cosine: float,
-              scratch: Scratch) -> DataFrame:
-    """Edges (a, b) between nodes that a pass brings together: rows are ordered by label and the
-    concatenated sign hashes of the pass, and each is compared with the next ``window`` rows."""
-    planes = np.random.default_rng(11).normal(size=(width, passes * BITS))
+def centres(nodes: DataFrame) -> DataFrame:
+    """(label, centre): mean direction of each label's vectors, summed per batch before the shuffle."""
+    def partial(batches):
+        for batch in batches:
+            x = unit(batch["v"])
+            label, at = np.unique(batch["label"].to_numpy(), return_inverse=True)
+            total = np.zeros((len(label), x.shape[1]))
+            np.add.at(total, at, x)
+            yield pd.DataFrame({"label": label, "n": np.bincount(at), "total": list(total)})
+
+    sums = nodes.select("label", "v").mapInPandas(partial, "label long, n long, total array<double>")
+    means = sums.select("label", "n", F.posexplode("total").alias("i", "x")).groupBy("label", "i").agg(
+        (F.sum("x") / F.sum("n")).alias("x"))
+    return means.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))),
+                                                  lambda e: e["x"]).alias("centre"))
+
+
+def bits_needed(key: np.ndarray, group: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each i with a row ``window`` further on: how many leading bits part the two, 0 where another
+    group begins in between, BITS + 1 where all bits agree; and i."""
+    i = np.arange(max(0, len(key) - window))
+    differ = key[i] ^ key[i + window]
+    parted = BITS + 1 - np.frexp(differ.astype(np.float64))[1]
+    return np.where(group[i] == group[i + window], parted, 0), i
+
+
+def in_passes(nodes: DataFrame, width: int, passes: int, seed: int, window: int, block: int, cosine: float,
+              scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) between nodes that a pass brings together, and (node, missed): the logarithm of the
+    probability that these passes miss a pair of the node that lies at the threshold.
+
+    Rows are ordered by label and the concatenated hashes of a pass, signs of random projections of the
+    direction less its label's centre, and each is compared with the next ``window`` rows. A pair meets
+    for certain when it shares as many bits as part a row from those ``window`` places before and after
+    it; this number is measured. Two directions at distance d, one of them r from the centre, have at
+    most the angle asin(d / r) there and share a bit with probability 1 - angle / pi.
+    """
+    planes = np.random.default_rng([11, seed]).normal(size=(width, passes * BITS))
     weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
 
     def hashed(batches):
         for batch in batches:
-            bits = (unit(batch["v"]) @ planes > 0).reshape(len(batch), passes, BITS)
+            x = unit(batch["v"]) - np.array(batch["centre"].tolist(), np.float64)
+            bits = (x @ planes > 0).reshape(len(batch), passes, BITS)
             key = (bits * weights).sum(axis=2)
             yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), passes),
                                 "label": np.repeat(batch["label"].to_numpy(), passes),
+                                "r": np.repeat(np.linalg.norm(x, axis=1), passes),
                                 "pass": np.tile(np.arange(passes), len(batch)), "key": key.ravel()})
 
     order = ["pass", "label", "key", "node"]
-    rows = nodes.select("node", "label", "v").mapInPandas(hashed, "node long, label long, pass long, key long")
+    rows = nodes.select("node", "label", "v").join(small(scratch.cut(centres(nodes)), 10_000), "label")
+    rows = rows.select("node", "label", "v", "centre").mapInPandas(
+        hashed, "node long, label long, r double, pass long, key long")
     rows = scratch.cut(rows.repartitionByRange(*order).sortWithinPartitions(*order)
                        .withColumn("at", F.monotonically_increasing_id()))
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
@@ -88,10 +126,72 @@ def in_passes(nodes: DataFrame, width: int, passes: int, window: int, block: int
         root = links_in_order(unit(group["v"]), label, window, cosine)
         node = group["node"].to_numpy()
         moved = root != np.arange(len(root))
-        return pd.DataFrame({"a": node[moved], "b": node[root[moved]]})
+        need, i = bits_needed(group["key"].to_numpy(), label, window)
+        most = np.zeros(len(node), np.int64)
+        np.maximum.at(most, i, need)
+        np.maximum.at(most, i + window, need)
+        return pd.concat([
+            pd.DataFrame({"a": node[moved], "b": node[root[moved]], "pass": -1, "need": 0, "r": 0.0}),
+            pd.DataFrame({"a": node, "b": node, "pass": group["pass"], "need": most, "r": group["r"]})])
+
+    rows = rows.select("node", "label", "r", "pass", "key", "place", "block").join(nodes.select("node", "v"), "node")
+    found = scratch.cut(rows.groupBy("block").applyInPandas(compare, "a long, b long, pass long, need long, r double"))
+    angle = F.asin(F.least(F.lit(1.0), F.lit(math.sqrt(2 - 2 * cosine)) / F.col("r")))
+    share = F.when(F.col("r") <= math.sqrt(2 - 2 * cosine), 0.0).otherwise(1 - angle / math.pi)
+    meet = F.when(F.col("need") > BITS, 0.0).otherwise(F.pow(share, F.col("need")))
+    missed = found.where("pass >= 0").groupBy("a", "pass").agg(F.max("need").alias("need"), F.first("r").alias("r"))
+    missed = missed.groupBy(F.col("a").alias("node")).agg(
+        F.sum(F.log1p(-F.least(meet, F.lit(1 - 1e-12)))).alias("missed"))
+    return found.where("pass < 0").select("a", "b").distinct(), missed
+
 
-    rows = rows.select("node", "label", "pass", "place", "block").join(nodes.select("node", "v"), "node")
-    return rows.groupBy("block").applyInPandas(compare, "a long, b long").distinct()
+def in_tiles(nodes: DataFrame, tile: int, cosine: float) -> DataFrame:
+    """Edges (a, b) between components of ``nodes`` (node, label, v, component), from comparing all of
+    them label by label, a pair of tiles in a task; links inside one component are not passed on."""
+    sizes = nodes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    rows = nodes.join(sizes, "label").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    rows = rows.withColumn("theirs", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    rows = rows.select("label", "component", "v", "mine", F.least("mine", "theirs").alias("i"),
+                       F.greatest("mine", "theirs").alias("j"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        one = group[group["mine"] == group["i"].iloc[0]]
+        two = group[group["mine"] == group["j"].iloc[0]]
+        if not len(one) or not len(two):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        a, b = one["component"].to_numpy(), two["component"].to_numpy()
+        near = (unit(one["v"]) @ unit(two["v"]).T >= cosine) & (a[:, None] != b[None, :])
+        x, y = np.nonzero(near)
+        return pd.DataFrame({"a": a[x], "b": b[y]}).drop_duplicates()
+
+    return rows.groupBy("label", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def edges_between(nodes: DataFrame, width: int, cosine: float, window: int, block: int, tile: int, miss: float,
+                  most_passes: int, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that connect what links connect, in rounds of passes over the rows still open.
+
+    A row is open while the passes so far may miss a pair of it with more than ``miss``; a closed one
+    needs no further pass, as its pairs are covered from its side. Rows open after ``most_passes``
+    passes, which lie in clouds so narrow that hashes hardly part them, are compared in tiles.
+    """
+    open_rows, edges, done, missed = nodes, None, 0, None
+    step = passes_for(nodes.count(), cosine, window, miss)
+    while True:
+        found, more = in_passes(open_rows, width, step, done, window, block, cosine, scratch)
+        edges = found if edges is None else edges.union(found)
+        missed = more if missed is None else missed.union(more).groupBy("node").agg(F.sum("missed").alias("missed"))
+        missed = scratch.cut(missed)
+        open_rows = scratch.cut(open_rows.join(missed.where(F.col("missed") > math.log(miss)), "node", "left_semi"))
+        done += step
+        if open_rows.isEmpty():
+            return edges
+        if done >= most_passes:
+            break
+    known = components(scratch.cut(edges), scratch)
+    rows = open_rows.join(known.withColumnRenamed("id", "node"), "node", "left").select(
+        "node", "label", "v", F.coalesce("component", "node").alias("component"))
+    return edges.union(in_tiles(scratch.cut(rows), tile, cosine))
 
 
 def link_counts(members: DataFrame, tile: int, cosine: float) -> DataFrame:
@@ -124,12 +224,13 @@ def link_counts(members: DataFrame, tile: int, cosine: float) -> DataFrame:
 
 
 def near_duplicates(table: DataFrame, cosine: float = 0.98, window: int = 64, block: int = 1024,
-                    tile: int = 512, miss: float = 1e-4) -> DataFrame:
+                    tile: int = 512, miss: float = 1e-4, most_passes: int = 64) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``table`` (vec_id, embedding, label).
 
     Equal vectors of a label are one weighted node. Sorted projection passes find components; their
-    number follows from the rows and the wanted ``miss``. Links are then counted exactly inside each
-    component, so a window's bound costs no link there.
+    number follows, row by row, from the measured crowding and the wanted ``miss``, and rows that
+    ``most_passes`` cannot settle are compared exactly (``edges_between``). Links are then counted
+    exactly inside each component, so a window's bound costs no link there.
 
     Rows with a null label, or a vector that is null, empty, zero or holds null or non-finite
     components, link with nothing: n_links 0, their own component, kept. Vectors of different
@@ -148,7 +249,7 @@ def near_duplicates(table: DataFrame, cosine: float = 0.98, window: int = 64, bl
     edges = None
     for r in nodes.groupBy(F.size("v").alias("width")).count().orderBy("width").collect():
         own = nodes.where(F.size("v") == r["width"])
-        found = in_passes(own, r["width"], passes_for(r["count"], cosine, window, miss), window, block, cosine, scratch)
+        found = edges_between(own, r["width"], cosine, window, block, tile, miss, most_passes, scratch)
         edges = found if edges is None else edges.union(found)
     if edges is None:
         edges = table.sparkSession.createDataFrame([], "a long, b long")

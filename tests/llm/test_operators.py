@@ -182,6 +182,34 @@ def test_links_of_embeddings(spark):
     assert all(got[i] == (0, i, True) for i in range(900, 905))
 
 
+@pytest.mark.parametrize("cone", [0.0, 0.9, 0.97])
+def test_links_of_clustered_embeddings(spark, cone):
+    r = np.random.default_rng(7)
+    middle = r.normal(size=(4, 32))
+    middle /= np.linalg.norm(middle, axis=1, keepdims=True)
+    around = r.normal(size=(2400, 32))
+    around /= np.linalg.norm(around, axis=1, keepdims=True)
+    x = np.sqrt(cone) * middle[np.arange(2400) % 4] + np.sqrt(1 - cone) * around
+    x = np.concatenate([x, x[:200] + 0.19 / np.sqrt(32) * r.normal(size=(200, 32))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(5000, x[0].tolist() + [0.0], 0), (7, x[7].tolist(), 0)]
+    got = {q.vec_id: (q.n_links, q.component_id, q.kept) for q in embeddings.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), most_passes=24).collect()}
+    near = u @ u.T >= 0.98
+    np.fill_diagonal(near, False)
+    component = brute.components(range(len(x)), zip(*np.nonzero(near), strict=True))
+    extra = near[:, 7].astype(int)
+    extra[7] = 1
+    want = {i: (int(near[i].sum() + extra[i]), int(component[i]), component[i] == i) for i in range(len(x))}
+    assert {i: got[i] for i in want} == want
+    assert got[5000] == (0, 5000, True)
+
+
+def test_no_embeddings(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<double>, label int, place int")
+    assert embeddings.near_duplicates(empty).collect() == []
+
+
 def test_suffix_arrays():
     r = random.Random(3)
     for _ in range(300):
