@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenwell.llm.store import Scratch, small
+from screenwell.llm.store import Scratch
+from screenwell.session import broadcast_checked
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -34,18 +36,25 @@ FURNITURE = {"ad", "ads", "adbox", "advert", "adverts", "advertisement", "advert
              "replies", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription",
              "popup", "modal", "overlay", "widget", "login", "signup", "search", "toolbar", "pagination", "pager", "masthead",
              "skip", "contentinfo", "complementary", "dialog"}
+#: Words that may follow one of them: parts that furniture is made of.
+PARTS = {"area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "container", "content", "fixed", "form", "frame", "global",
+         "group", "holder", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "message", "note", "outer", "panel",
+         "right", "section", "site", "slot", "sticky", "top", "unit", "widget", "wrap", "wrapper", "zone"}
+#: Words before them that speak of a page's layout instead.
+LAYOUT = {"has", "no", "with", "without", "hide", "show", "is", "not"}
 MAIN = {"articlebody", "article", "post", "entry", "story", "content", "main"}
 DEPTH = 150
 
 
 class Node:
-    """An element: tag, path label, names (words of class, id, role), children and texts in order."""
+    """An element: tag, path label (numbers in names are left out), names (words of class, id, role),
+    whether one of them names furniture, children and texts in order."""
 
-    __slots__ = ("tag", "label", "names", "kids", "hidden")
+    __slots__ = ("tag", "label", "names", "named", "kids", "hidden")
 
     def __init__(self, tag: str, attributes: str):
         self.tag, self.kids, self.hidden = tag, [], False
-        self.names, first = set(), ""
+        self.names, self.named, first = set(), False, ""
         if attributes:
             for name, value in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), value.strip("\"'").lower()
@@ -53,10 +62,23 @@ class Node:
                     self.hidden = name == "hidden"
                     continue
                 first = first or value
-                self.names.update(re.split(r"[^a-z]+", value))
+                for name in value.split():
+                    words = [w for w in re.split(r"[^a-z]+", name) if w]
+                    self.names.update(words)
+                    self.named |= names_furniture(words)
+        first = re.sub(r"[0-9]+", "", first)
         self.label = f"{tag}.{first}" if first else tag
 
 
+def names_furniture(words: list[str]) -> bool:
+    """Whether a name of these words is one of furniture: a word for it at the end, or followed by parts
+    only, and none before it that speaks of layout (``has-sidebar``)."""
+    end = len(words)
+    while end and words[end - 1] in PARTS and words[end - 1] not in FURNITURE:
+        end -= 1
+    return bool(end and words[end - 1] in FURNITURE and not LAYOUT & set(words[: end - 1]))
+
+
 def parse(html: str) -> Node:
     """The tree of a page; open elements end where others imply it or at the end."""
     root = Node("#", "")
@@ -114,7 +136,7 @@ def furniture(node: Node, inside: bool) -> bool:
     """Whether an element is page furniture; ``inside``: within the main element."""
     if node.tag in ("html", "body", "article", "main") and not node.names & {"comment", "comments"}:
         return False
-    return bool(node.tag in DROPPED or node.hidden or node.names & FURNITURE
+    return bool(node.tag in DROPPED or node.hidden or node.named
                 or (not inside and (node.tag == "header" or "header" in node.names)))
 
 
@@ -171,8 +193,14 @@ def located(tree: Node) -> list[tuple[str, str]]:
 
 def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Aligned elements of two trees by simple tree matching: roots must have the same label, and the
-    children are aligned in order so that most nodes match."""
+    children are aligned in order so that most nodes match, those of equal text counted twice."""
     scores: dict[tuple[int, int], int] = {}
+    texts: dict[int, str] = {}
+
+    def text(n: Node) -> str:
+        if id(n) not in texts:
+            texts[id(n)] = own_text(n)
+        return texts[id(n)]
 
     def children(n: Node) -> list[Node]:
         return [k for k in n.kids if isinstance(k, Node) and k.tag not in RAW]
@@ -190,7 +218,7 @@ def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
             return 0
         key = id(x), id(y)
         if key not in scores:
-            scores[key] = 1 + table(x, y)[-1][-1]
+            scores[key] = 1 + (text(x) != "" and text(x) == text(y)) + table(x, y)[-1][-1]
         return scores[key]
 
     out, todo = [], [(a, b)]
@@ -210,32 +238,27 @@ def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return out
 
 
-def wrapper(pages: list[str]) -> list[list[str]]:
-    """Template of a host: (path, text) of the blocks that aligned pages share.
+def constants(one: Node, two: Node) -> list[tuple[str, str]]:
+    """(path, text) of the main blocks of ``one`` that say the same at aligned places of ``two``."""
+    mine = dict.fromkeys(located(one))
+    shared = {text for _, text in mine} & {text for _, text in located(two)}
+    if not shared:
+        return []
+    same = {a for a, b in ((own_text(x), own_text(y)) for x, y in matching(one, two)) if a and a == b}
+    return [(path, text) for path, text in mine if text in shared and text in same]
+
+
+def kind_of(tree: Node) -> tuple[str, list[int], int]:
+    """Layout of a page (labels of its main elements), eight hashes of its content, its number of blocks.
 
-    Pages that repeat half of the blocks of an earlier one are copies and tell nothing. A block is
-    constant, and template, when it is equal at aligned places of three pages or more and of more than
-    half of them; what varies is a slot and stays content.
+    A hash is the smallest one of the blocks under a hash function. Pages that repeat an article with
+    an edited block mostly share it; pages that share a template mostly differ in it, unless a block of
+    the template hashes low, which is unlikely under all eight.
     """
-    trees = []
-    for html in sorted(set(pages)):
-        tree = parse(html)
-        own = set(blocks(tree))
-        if own and not any(2 * len(own & other) >= min(len(own), len(other)) for _, other in trees):
-            trees.append((tree, own))
-    if len(trees) < 3:
-        return []
-    first = trees[0][0]
-    mine = located(first)
-    seen: Counter = Counter()
-    for tree, _ in trees[1:]:
-        same: Counter = Counter()
-        for x, y in matching(first, tree):
-            a, b = own_text(x), own_text(y)
-            if a and a == b:
-                same[a] = 1
-        seen.update(same)
-    return [[path, text] for path, text in dict.fromkeys(mine) if seen[text] >= 2 and 2 * (seen[text] + 1) > len(trees)]
+    texts = [text for _, text in located(tree)]
+    digests = [np.frombuffer(blake2b(t.encode("utf-8", "replace"), digest_size=64).digest(), "<u8") >> np.uint64(1) for t in texts]
+    least = np.minimum.reduce(digests).astype(np.int64).tolist() if digests else []
+    return " ".join(dict.fromkeys(n.label for n in roots(tree))), least, len(texts)
 
 
 def own_text(node: Node) -> str:
@@ -254,36 +277,81 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame, scratch: Scratch, sample: int = 8) -> DataFrame:
-    """(host, template): induced from at most ``sample`` pages of each host, picked by hashes of the
-    url, which bounds what meets in one task whatever the host's size."""
-    rows = pages.where("html is not null").select(host_of(F.col("url")).alias("host"), F.xxhash64("url", "page_id").alias("key"))
-    picks = rows.groupBy("host").agg(*[F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"k{k}") for k in range(sample)])
-    picks = scratch.cut(picks.select(F.explode(F.array_distinct(F.array(*[f"k{k}" for k in range(sample)]))).alias("key")).distinct())
-    chosen = (pages.where("html is not null").select(host_of(F.col("url")).alias("host"), F.xxhash64("url", "page_id").alias("key"), "html")
-              .join(small(picks), "key", "left_semi").dropDuplicates(["key"]))
+def contents(rows: DataFrame, *keys: str) -> DataFrame:
+    """Number of contents of each group: the largest count of different hashes under one function."""
+    each = rows.select(*keys, F.posexplode("content").alias("function", "hash")).distinct()
+    return each.groupBy(*keys, "function").count().groupBy(*keys).agg(F.max("count").alias("contents"))
+
 
-    def induce(group: pd.DataFrame) -> pd.DataFrame:
-        found = wrapper(group["html"].tolist())
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "template": [found]})
+def wrappers(pages: DataFrame, scratch: Scratch, models: int = 3, least: int = 4) -> DataFrame:
+    """(host, template): (path, text) of the blocks that aligned pages of a host and layout share.
+
+    Every page is aligned by simple tree matching with up to ``models`` pages of its host and layout
+    that have about as many blocks as most. What is equal at aligned places is counted over all pages:
+    a block is template when the pages that hold it have ``least`` contents or more, and over half of
+    those of the layout. Counts are of contents (``kind_of``), the largest of eight counts, so copies of
+    an article do not make it a template.
+    Blocks that no model page holds are not found. No host meets in one task.
+    """
+    rows = pages.where("html is not null").select("html", host_of(F.col("url")).alias("host"))
+
+    def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kinds = [kind_of(parse(html)) for html in batch["html"]]
+            yield pd.concat([batch[["host", "page"]].reset_index(drop=True),
+                             pd.DataFrame(kinds, columns=["layout", "content", "n"])], axis=1)
+
+    seen = scratch.cut(rows.withColumn("page", F.xxhash64("host", "html")).select("host", "page", "html").mapInPandas(
+        profile, "host string, page long, layout string, content array<long>, n long").where("n > 0"))
+    usual = seen.groupBy("host", "layout").agg(F.percentile_approx("n", 0.5).alias("usual"))
+    layouts = scratch.cut(contents(seen, "host", "layout").where(F.col("contents") >= least).join(usual, ["host", "layout"]))
+    off = F.floor(F.log2(1 + F.abs(F.col("n") - F.col("usual"))))
+    picks = seen.join(broadcast_checked(layouts), ["host", "layout"]).groupBy("host", "layout").agg(
+        *[F.min(F.struct(off.alias("off"), F.xxhash64("page", F.lit(k)).alias("draw"), "page")).alias(f"k{k}") for k in range(models)])
+    picks = scratch.cut(picks.select("host", "layout", F.explode(F.array_distinct(F.array(
+        *[F.col(f"k{k}.page") for k in range(models)]))).alias("page")))
+    chosen = rows.withColumn("page", F.xxhash64("host", "html")).join(broadcast_checked(picks), ["host", "page"])
+    chosen = scratch.cut(chosen.groupBy("host", "layout", "page").agg(F.first("html").alias("model"))
+                         .groupBy("host").agg(F.collect_list(F.struct("layout", "model")).alias("models")))
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple, list] = {}
+        for batch in batches:
+            out = []
+            for host, html, found in batch[["host", "html", "models"]].itertuples(index=False):
+                tree = parse(html)
+                layout, content, _ = kind_of(tree)
+                if (host, layout) not in known:
+                    if len(known) > 100:
+                        known.clear()
+                    known[host, layout] = [parse(m["model"]) for m in found if m["layout"] == layout]
+                same = dict.fromkeys(c for model in known[host, layout] for c in constants(tree, model))
+                out += [(host, layout, path, text, content) for path, text in same]
+            yield pd.DataFrame(out, columns=["host", "layout", "path", "text", "content"])
 
-    return chosen.groupBy("host").applyInPandas(induce, "host string, template array<array<string>>")
+    held = rows.join(broadcast_checked(chosen), "host").mapInPandas(
+        align, "host string, layout string, path string, text string, content array<long>")
+    held = contents(held, "host", "layout", "path", "text").where(F.col("contents") >= least)
+    held = held.withColumnRenamed("contents", "held").join(broadcast_checked(layouts), ["host", "layout"]).where(
+        2 * F.col("held") > F.col("contents"))
+    return held.groupBy("host").agg(F.collect_set(F.array("path", "text")).alias("template"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each row: blocks of the main text joined by line breaks.
 
     Same-host pages are aligned by simple tree matching; what is constant becomes the host's
-    template and goes, what varies is content. Furniture is told by element and by class, id or role.
+    template and goes, what varies is content (``wrappers``). Furniture is told by element and by
+    whole names of class, id or role.
     Within a block, character references are decoded and white space (also ``br``) is one space.
 
-    Null and empty html give an empty text; a host with fewer than three different pages has no
+    Null and empty html give an empty text; a host with fewer than four different pages has no
     template; unclosed and misnested markup is repaired; repeated rows stay; other columns are not
     read; an empty table gives an empty one.
     """
     scratch = Scratch(pages.sparkSession)
-    found = scratch.cut(wrappers(pages, scratch)).where(F.size("template") > 0)
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(small(found, 10_000), "host", "left")
+    found = scratch.cut(wrappers(pages, scratch))
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(broadcast_checked(found), "host", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, frozenset] = {}

@@ -280,6 +280,42 @@ def test_pages(spark):
     assert got[2] == ("T 2\ntext 2 a < b x\ntail 2", 25) and got[7] == got[8] == ("", 0) and got[9] == ("a\nb", 3)
 
 
+def templated(spark, rows):
+    return {q.page_id: q.text for q in wrappers.main_texts(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_templates_of_hosts(spark):
+    def page(host, i, article, last="Printed on our own paper"):
+        return (f"<div class=top>Daily {host}</div><div>Call us any time</div>" + "".join(f"<p>{a}</p>" for a in article)
+                + f"<div>{last}</div>")
+    rows = [(i, f"http://one.com/{i}", page("one", i, [f"alpha {i} {k}" for k in range(1 + i % 3)])) for i in range(40)]
+    rows += [(100 + i, f"http://two.com/{i}", page("two", i, [f"beta {i}", "a line of some pages" if i % 3 == 0 else f"b {i}"])) for i in range(12)]
+    copied = [f"copied {k}" for k in range(3)]
+    rows += [(200 + i, f"http://copies.com/{i}", page("copies", i, copied if i < 20 else [f"gamma {i} {k}" for k in range(3)])) for i in range(30)]
+    rows += [(300 + i, f"http://few.com/{i}", page("few", i, [f"delta {i}"])) for i in range(3)]
+    got = templated(spark, rows + rows[:1])
+    assert all(got[i] == "\n".join(f"alpha {i} {k}" for k in range(1 + i % 3)) for i in range(40))
+    assert all(got[100 + i] == f"beta {i}\n" + ("a line of some pages" if i % 3 == 0 else f"b {i}") for i in range(12))
+    assert all(got[200 + i] == "\n".join(copied) for i in range(20))
+    assert all(got[300 + i] == f"Daily few\nCall us any time\ndelta {i}\nPrinted on our own paper" for i in range(3))
+
+
+def test_names_that_are_no_furniture(spark):
+    bodies = ['<div class="layout has-sidebar"><article><p>a</article></div>', '<div id=page class="no-sidebar"><p>a</div>',
+              '<article><p class="search-history-text">a<p class="social-impact">b<div class="alert-level">c</div></article>',
+              '<article><p>a</p><div class="cookie-notice">x</div><div class="share-buttons">y</div><div id="sidebar-2">z</div></article>',
+              "<div>" * 200 + "a" + "</div>" * 200 + "<footer>x</footer>"]
+    got = templated(spark, [(i, f"http://h{i}.com", b) for i, b in enumerate(bodies)])
+    assert got == {0: "a", 1: "a", 2: "a\nb\nc", 3: "a", 4: "a"}
+    assert templated(spark, []) == {}
+
+
+def test_tree_matching():
+    one, two = wrappers.parse("<ul><li>a<li>b<li>c</ul><p>x"), wrappers.parse("<ul><li>b<li>c</ul><div>n</div><p>x")
+    assert wrappers.constants(one, two) == [("#/ul/li", "b"), ("#/ul/li", "c"), ("#/p", "x")]
+
+
 def test_archives(spark):
     long = "é" * 60
     rows = [(3, "u\n", long), (1, "u", long), (2, None, long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (None, "u", long), (1, "u", long)]
