@@ -172,10 +172,11 @@ def edges_between(nodes: DataFrame, width: int, cosine: float, window: int, bloc
     """Edges (a, b) that connect what links connect, in rounds of passes over the rows still open.
 
     A row is open while the passes so far may miss a pair of it with more than ``miss``; a closed one
-    needs no further pass, as its pairs are covered from its side. Rows open after ``most_passes``
-    passes, which lie in clouds so narrow that hashes hardly part them, are compared in tiles.
+    needs no further pass, as its pairs are covered from its side. Rows still open lie in clouds so
+    narrow that hashes hardly part them. All of a label's are compared in tiles once they are so few
+    that this takes no more comparisons than a round of passes, or after ``most_passes`` passes.
     """
-    open_rows, edges, done, missed = nodes, None, 0, None
+    open_rows, edges, rest, done, missed = nodes, None, None, 0, None
     step = passes_for(nodes.count(), cosine, window, miss)
     while True:
         found, more = in_passes(open_rows, width, step, done, window, block, cosine, scratch)
@@ -184,12 +185,19 @@ def edges_between(nodes: DataFrame, width: int, cosine: float, window: int, bloc
         missed = scratch.cut(missed)
         open_rows = scratch.cut(open_rows.join(missed.where(F.col("missed") > math.log(miss)), "node", "left_semi"))
         done += step
-        if open_rows.isEmpty():
-            return edges
-        if done >= most_passes:
+        sizes = scratch.cut(open_rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+        few = sizes if done >= most_passes else sizes.where(F.col("n") <= 2 * step * window)
+        left = open_rows.join(small(few, 10_000), "label", "left_semi")
+        rest = left if rest is None else rest.union(left)
+        open_rows = open_rows.join(small(few, 10_000), "label", "left_anti")
+        if sizes.count() == few.count():
             break
+        open_rows = scratch.cut(open_rows)
+    rest = scratch.cut(rest)
+    if rest.isEmpty():
+        return edges
     known = components(scratch.cut(edges), scratch)
-    rows = open_rows.join(known.withColumnRenamed("id", "node"), "node", "left").select(
+    rows = rest.join(known.withColumnRenamed("id", "node"), "node", "left").select(
         "node", "label", "v", F.coalesce("component", "node").alias("component"))
     return edges.union(in_tiles(scratch.cut(rows), tile, cosine))
 
