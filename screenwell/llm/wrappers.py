@@ -238,27 +238,32 @@ def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return out
 
 
-def constants(one: Node, two: Node) -> list[tuple[str, str]]:
-    """(path, text) of the main blocks of ``one`` that say the same at aligned places of ``two``."""
-    mine = dict.fromkeys(located(one))
-    shared = {text for _, text in mine} & {text for _, text in located(two)}
+def constants(one: Node, two: Node, blocks_one: list, blocks_two: list) -> list[tuple[str, str]]:
+    """(path, text) of the main blocks of ``one`` that say the same at aligned places of ``two``; the
+    main blocks of both are given (``located``)."""
+    mine = dict.fromkeys(blocks_one)
+    shared = {text for _, text in mine} & {text for _, text in blocks_two}
     if not shared:
         return []
     same = {a for a, b in ((own_text(x), own_text(y)) for x, y in matching(one, two)) if a and a == b}
     return [(path, text) for path, text in mine if text in shared and text in same]
 
 
-def kind_of(tree: Node) -> tuple[str, list[int], int]:
-    """Layout of a page (labels of its main elements), eight hashes of its content, its number of blocks.
+def layout_of(tree: Node) -> str:
+    """Labels of a page's main elements."""
+    return " ".join(dict.fromkeys(n.label for n in roots(tree)))
+
+
+def content_of(found: list[tuple[str, str]]) -> list[int]:
+    """Eight hashes of the content of a page with these main blocks.
 
     A hash is the smallest one of the blocks under a hash function. Pages that repeat an article with
     an edited block mostly share it; pages that share a template mostly differ in it, unless a block of
     the template hashes low, which is unlikely under all eight.
     """
-    texts = [text for _, text in located(tree)]
-    digests = [np.frombuffer(blake2b(t.encode("utf-8", "replace"), digest_size=64).digest(), "<u8") >> np.uint64(1) for t in texts]
-    least = np.minimum.reduce(digests).astype(np.int64).tolist() if digests else []
-    return " ".join(dict.fromkeys(n.label for n in roots(tree))), least, len(texts)
+    joined = b"".join(blake2b(t.encode("utf-8", "replace"), digest_size=64).digest() for _, t in found)
+    hashes = np.frombuffer(joined, "<u8").reshape(-1, 8) >> np.uint64(1)
+    return hashes.min(axis=0).astype(np.int64).tolist() if len(hashes) else []
 
 
 def own_text(node: Node) -> str:
@@ -289,7 +294,7 @@ def wrappers(pages: DataFrame, scratch: Scratch, models: int = 3, least: int = 4
     Every page is aligned by simple tree matching with up to ``models`` pages of its host and layout
     that have about as many blocks as most. What is equal at aligned places is counted over all pages:
     a block is template when the pages that hold it have ``least`` contents or more, and over half of
-    those of the layout. Counts are of contents (``kind_of``), the largest of eight counts, so copies of
+    those of the layout. Counts are of contents (``content_of``), the largest of eight counts, so copies of
     an article do not make it a template.
     Blocks that no model page holds are not found. No host meets in one task.
     """
@@ -297,7 +302,11 @@ def wrappers(pages: DataFrame, scratch: Scratch, models: int = 3, least: int = 4
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kinds = [kind_of(parse(html)) for html in batch["html"]]
+            kinds = []
+            for html in batch["html"]:
+                tree = parse(html)
+                own = located(tree)
+                kinds.append((layout_of(tree), content_of(own), len(own)))
             yield pd.concat([batch[["host", "page"]].reset_index(drop=True),
                              pd.DataFrame(kinds, columns=["layout", "content", "n"])], axis=1)
 
@@ -320,13 +329,17 @@ def wrappers(pages: DataFrame, scratch: Scratch, models: int = 3, least: int = 4
             out = []
             for host, html, found in batch[["host", "html", "models"]].itertuples(index=False):
                 tree = parse(html)
-                layout, content, _ = kind_of(tree)
+                layout, own = layout_of(tree), located(tree)
                 if (host, layout) not in known:
                     if len(known) > 100:
                         known.clear()
-                    known[host, layout] = [parse(m["model"]) for m in found if m["layout"] == layout]
-                same = dict.fromkeys(c for model in known[host, layout] for c in constants(tree, model))
-                out += [(host, layout, path, text, content) for path, text in same]
+                    trees = [parse(m["model"]) for m in found if m["layout"] == layout]
+                    known[host, layout] = [(model, located(model)) for model in trees]
+                same = dict.fromkeys(c for model, blocks_there in known[host, layout]
+                                     for c in constants(tree, model, own, blocks_there))
+                if same:
+                    content = content_of(own)
+                    out += [(host, layout, path, text, content) for path, text in same]
             yield pd.DataFrame(out, columns=["host", "layout", "path", "text", "content"])
 
     held = rows.join(broadcast_checked(chosen), "host").mapInPandas(

@@ -313,7 +313,7 @@ def test_names_that_are_no_furniture(spark):
 
 def test_tree_matching():
     one, two = wrappers.parse("<ul><li>a<li>b<li>c</ul><p>x"), wrappers.parse("<ul><li>b<li>c</ul><div>n</div><p>x")
-    assert wrappers.constants(one, two) == [("#/ul/li", "b"), ("#/ul/li", "c"), ("#/p", "x")]
+    assert wrappers.constants(one, two, wrappers.located(one), wrappers.located(two)) == [("#/ul/li", "b"), ("#/ul/li", "c"), ("#/p", "x")]
 
 
 def test_archives(spark):
