@@ -6,7 +6,7 @@ from screenwell.fixed_values import ALL_ITEMS, GAD_BANDS, PHQ_BANDS
 from screenwell.functions.bands import band, gad_band, phq_band
 from screenwell.operators.care_plan import parse_suggestions
 from screenwell.operators.lookup import band_join
-from screenwell.operators.safety import classify_text, judge, matched_families, parse_verifier
+from screenwell.operators.safety import classify_text, family_counts, judge, matched_families, parse_verifier
 from screenwell.operators.triage import item_contributions, keyword_hit, stratify_risk
 from screenwell.plans.triage_plan import triage
 
@@ -142,3 +142,13 @@ def test_judge_without_risk_columns(spark):
     assert judge(df).first().safety_verdict == "escalate"
     assert "suicidal_ideation_positive" in stratify_risk(
         df.withColumn("severity_score", F.lit(0.0))).columns
+
+
+def test_family_counts_search_each_text_once(spark):
+    rows = [("I want to die. No hope.",)] * 3 + [("I want to die.",), ("fine",), (None,)]
+    df = spark.createDataFrame(rows, "narrative string")
+    plain = df.select(F.explode(matched_families(F.col("narrative"))).alias("f")).groupBy("f").count()
+    got = family_counts(df)
+    assert sorted(got.collect()) == sorted(plain.collect()) and got.count() > 0
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(1)" in text.split("Generate")[1]

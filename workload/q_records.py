@@ -223,9 +223,7 @@ def families_sql(expr: str) -> str:
   SELECT unnest({families_sql('narrative')}) AS family FROM rec)
 SELECT family, count(*) AS n FROM fam GROUP BY 1""")
 def _(spark, sf):
-    found = A.records(spark, sf).select(F.explode(safety.matched_families(
-        F.col("narrative"))).alias("family"))
-    return found.groupBy("family").agg(F.count("*").alias("n"))
+    return safety.family_counts(A.records(spark, sf))
 
 
 RAISED = "phq9_band IN ('moderate', 'moderately_severe', 'severe')"
