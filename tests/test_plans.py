@@ -10,7 +10,7 @@ from screenwell.operators.evaluation import confusion
 from screenwell.operators.sampling import top_per_group
 from screenwell.plans.triage_plan import triage
 from screenwell.retrieval.chunks import postings
-from screenwell.session import checkpoint_folder, cut_lineage, fits, spread
+from screenwell.session import checkpoint_folder, cut_lineage, fits, in_tasks, spread
 from tests.test_scoring import records
 
 
@@ -67,6 +67,17 @@ def test_size_check_and_spread(spark):
     assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = df.repartition(50)
     assert spread(many, "id") is many
+    assert spread(one, "id", rows=4).rdd.getNumPartitions() == 25
+    assert in_tasks(one, rows=4).rdd.getNumPartitions() == 25 and in_tasks(one, rows=100) is one
+
+
+def test_generated_rows_come_in_several_tasks(spark, tmp_path):
+    from workload.q_learning import ids
+
+    spark.range(90).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = ids(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(r.row_id for r in rows.collect()) == list(range(90))
 
 
 def test_stored_tables_lie_in_the_shared_folder(spark):
