@@ -221,3 +221,33 @@ def test_embedding_is_unit(spark):
     df = embed(spark.createDataFrame([("a b a",), ("",)], "text string"), "text")
     norms = [sum(x * x for x in r.vector) for r in df.collect()]
     assert norms[0] == pytest.approx(1.0) and norms[1] == 0.0
+
+
+def test_blocks_of_a_shelf_come_sorted_and_whole(spark):
+    import pyarrow as pa
+
+    from screenwell.retrieval.blocks import some_blocks
+
+    schema = pa.schema([("source", pa.string()), ("term", pa.string()), ("block", pa.int64()), ("n", pa.int32()),
+                        ("tops", pa.list_(pa.struct([("tf", pa.int32()), ("dl", pa.int32())]))),
+                        ("ids", pa.list_(pa.int64())), ("tfs", pa.list_(pa.int32())), ("dls", pa.list_(pa.int32()))])
+    texts = {(2, 7): ["b", "a", "b"], (1, 9): ["ü", "a"], (1, 3): ["a", "a", "c", "ü"], (2, 8): [], (2, 5): None}
+    table = pa.table({"source": ["s"] * 5, "block": [k[0] for k in texts], "chunk_id": [k[1] for k in texts],
+                      "words": pa.array(list(texts.values()), pa.list_(pa.string()))})
+    got = some_blocks(table, schema).to_pylist()
+    assert [(r["term"], r["block"]) for r in got] == [("a", 1), ("a", 2), ("b", 2), ("c", 1), ("ü", 1)]
+    for r in got:
+        held = {i: w for (b, i), w in sorted(texts.items()) if b == r["block"] and w and r["term"] in w}
+        assert r["ids"] == list(held) and r["n"] == len(held) and r["dls"] == [len(w) for w in held.values()]
+        assert r["tfs"] == [Counter(w)[r["term"]] for w in held.values()]
+        best = {}
+        for tf, dl in zip(r["tfs"], r["dls"], strict=True):
+            best[tf] = min(dl, best.get(tf, dl))
+        assert r["tops"] == [{"tf": t, "dl": best[t]} for t in sorted(best)]
+    assert some_blocks(table.slice(3, 1), schema).num_rows == 0
+
+
+def test_a_null_text_has_a_zero_vector(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, None), (3, " ")], "id long, text string")
+    got = {r.id: r.vector for r in embed(df, "text").collect()}
+    assert sum(x * x for x in got[1]) == pytest.approx(1) and got[2] == got[3] == [0.0] * 64
