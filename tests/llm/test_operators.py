@@ -69,6 +69,35 @@ def test_jaccard_odd_rows(spark):
     assert jaccard.link(table(spark, [])).count() == 0
 
 
+def test_wide_parity_bits_tell_long_texts_apart(spark):
+    """5,000 shingles: 512 bits let two unrelated sets through, two bits a shingle do not, nor sets that
+    share 60 %; linked ones always pass, also when their rows have different lengths."""
+    r = np.random.default_rng(3)
+    own = np.unique(r.integers(0, 2**63, 5000, dtype=np.uint64))
+    near = np.concatenate([own[:4050], r.integers(0, 2**63, 46, dtype=np.uint64)])
+    some = np.concatenate([own[:3750], r.integers(0, 2**63, 1250, dtype=np.uint64)])
+    other = r.integers(0, 2**63, 5000, dtype=np.uint64)
+    assert len(jaccard.wide_parity(own)) == 2 * len(jaccard.wide_parity(near))
+    assert jaccard.wide_parity(own[:256]) is None
+    rows = []
+    for k, x in enumerate((own, near, some, other, own[:200])):
+        wide = jaccard.wide_parity(x)
+        rows.append((k, len(x), *map(int, jaccard.parity(x)), None if wide is None else [int(v) for v in wide]))
+    sets = spark.createDataFrame(rows, "id int, n long, " + ", ".join(f"{b} long" for b in jaccard.BITS) + ", wide array<long>")
+    pairs = sets.alias("x").join(sets.alias("y"), F.expr("x.id = 0"))
+    got = {q.id: (q.first, q.then) for q in pairs.select(
+        "y.id", jaccard.near(80, "x", "y").alias("first"), jaccard.wide_near(80, "x", "y").alias("then")).collect()}
+    assert got[0] == got[1] == (True, True)
+    assert got[2] == got[3] == (True, False)
+    assert got[4][1]
+
+
+def test_groups_of_equal_members_come_once(spark):
+    groups = {1: [1, 2, 3], 2: [3, 1, 2], 3: [1, 2], 4: [1, 1, 2], 5: [2, 3, 1], 6: [4]}
+    rows = spark.createDataFrame([(k, i) for k, ids in groups.items() for i in ids], "key long, id long")
+    assert {q.key for q in jaccard.once(rows, "key").collect()} == {1, 3, 4, 6}
+
+
 def plain_components(rows, size, percent):
     sets = {i: brute.shingles(t, size) for i, t in rows}
     links = []
