@@ -146,6 +146,31 @@ def test_linked_sets_share_a_first_key(percent):
         assert keys[0] & keys[1]
 
 
+def test_edits_against_a_centre_part_a_group(spark):
+    """Linked sets, one of them not linked with the centre, share a key; 200 sets with unrelated edits share none."""
+    r, percent = random.Random(5), 80
+    centre = frozenset(range(100))
+    sets = {0: centre}
+    for i in range(1, 201):
+        own = r.sample(range(100), 12)
+        sets[i] = centre - set(own) | {1000 * i + k for k in range(16)}
+    for family in range(20):
+        gone, more = r.sample(range(100), 15), [10 ** 6 + 100 * family + k for k in range(15)]
+        for i in range(3):
+            sets[201 + 3 * family + i] = centre - set(gone[i:]) | set(more[: 15 - i])
+    linked = lambda x, y: 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])
+    members = [i for i in sets if i]
+    groups = spark.createDataFrame([(7, i, 0) for i in members], "key long, id long, centre long")
+    differ = spark.createDataFrame([(i, 0, len(sets[i]), 100, sorted(sets[i] ^ centre)) for i in members],
+                                   "id long, centre long, n long, m long, edits array<long>")
+    got = jaccard.edit_keys(groups, differ, percent).collect()
+    short, long = ({(q.id, q.key) for q in got if q[name]} for name in ("short", "long"))
+    keys = {i: ({k for j, k in short if j == i}, {k for j, k in long if j == i}) for i in members}
+    wanted = [(x, y) for x in members for y in members if x < y and linked(x, y) and not (linked(x, 0) and linked(y, 0))]
+    assert wanted and all(keys[x][0] & keys[y][1] or keys[x][1] & keys[y][0] for x, y in wanted)
+    assert not any(linked(i, 0) for i in range(1, 201)) and not any(keys[i][0] for i in range(1, 201))
+
+
 def test_segments_hold_the_largest_difference():
     for top in range(1, 400):
         for small in range(1, top + 1):
