@@ -2,8 +2,10 @@
 
 import random
 import struct
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +148,72 @@ def test_linked_sets_share_a_first_key(percent):
         assert keys[0] & keys[1]
 
 
+def plain_entries(text, size, percent):
+    """(slot, keys) of each band of a text, one text at a time."""
+    words = jaccard.words_of([(text or "").encode("utf-8", "replace").translate(jaccard.LOWER)])[0]
+    own = jaccard.shingle_hashes(words, size)
+    for band, count in jaccard.banded(own, percent):
+        full, empty = jaccard.first_keys(own, band, count)
+        larger = min(100 * len(own) // percent, jaccard.band_starts(200 * len(own) // percent + 2)[band + 1] - 1)
+        spare = jaccard.segments(len(own) + larger, percent, 1) - 1 - len(full)
+        yield band * jaccard.SLOT + jaccard.SLOT // 2 + spare, sorted(np.concatenate([full, empty]).tolist())
+
+
+def edited_texts():
+    r = random.Random(4)
+    texts = [None, "", " ", "one", "one two", "a b c d e f g h", "x " * 80]
+    for length in (6, 20, 50, 90, 400):
+        base = [f"w{r.randrange(length)}" for _ in range(length)]
+        for _ in range(4):
+            texts.append(" ".join(base))
+            base[r.randrange(length)] = f"n{r.randrange(10 ** 6)}"
+        texts.append(" ".join(f"u{r.randrange(10 ** 9)}" for _ in range(length)))
+    return texts
+
+
+def plain_recurring(entries):
+    """(id, slot) -> (spare, rare, rest) from entries (id, slot, keys) with all keys in one place."""
+    df, out = Counter(k for _, _, found in entries for k in found), {}
+    for i, slot, found in entries:
+        here = sorted((k & 1, df[k], k) for k in found if df[k] > 1)
+        spare = sum(not odd for odd, _, _ in here) + slot % jaccard.SLOT - jaccard.SLOT // 2
+        if here and spare >= 0:
+            rare = [k for place, (odd, _, k) in enumerate(here) if odd or place <= spare]
+            out[i, slot] = spare, rare, [k for _, _, k in here if k not in rare]
+    return out
+
+
+@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
+def test_keys_of_many_texts_as_of_one(size, percent):
+    texts, got, known, done = edited_texts(), {}, {}, 0
+    for hashes, at in jaccard.hashed_texts(pa.array(texts), size):
+        for which, slots, number, keys in jaccard.entries_of(hashes, at, percent, known):
+            ends = np.cumsum(number)
+            for text, slot, i, j in zip(which, slots, ends - number, ends, strict=True):
+                got.setdefault(done + text, []).append((slot, sorted(keys[i:j].tolist())))
+        done += len(at) - 1
+    assert [got.get(i, []) for i in range(len(texts))] == [list(plain_entries(t, size, percent)) for t in texts]
+
+
+@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
+def test_keys_move_packed_and_those_that_others_have_come_back(spark, size, percent):
+    """Under eight bytes a key move; what comes back is what a look at all keys at once gives."""
+    texts = edited_texts()
+    keys = jaccard.keys_of(spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1), size, percent, 5).cache()
+    sent = keys.where("keys is not null").selectExpr("sum(length(keys)) / 4 n", "sum(length(keys) + length(gaps)) b", "count(heads) h").first()
+    entries = [(i, slot, [(k >> 33) % 5 << 32 | k & 0xFFFFFFFF for k in found])
+               for i, t in enumerate(texts) for slot, found in plain_entries(t, size, percent)]
+    assert sent.n == sum(len(found) for _, _, found in entries) and sent.b < 8 * sent.n and not sent.h
+    want = plain_recurring(entries)
+    out = jaccard.recurring(keys).cache()
+    assert {(q.id, q.slot): (q.spare, q.rare, q.rest) for q in out.collect()} == want and 0 < len(want) < len(entries)
+    again = plain_recurring([(i, slot, rare + rest) for (i, slot), (_, rare, rest) in want.items()])
+    labels = spark.createDataFrame([(q.id, 7) for q in out.select("id").distinct().collect()], "id long, component long")
+    apart = jaccard.recurring(jaccard.keys_again(out, labels.limit(0), 5)).collect()
+    assert {(q.id, q.slot): (q.spare, q.rare, q.rest) for q in apart} == again
+    assert jaccard.recurring(jaccard.keys_again(out, labels, 5)).count() == 0
+
+
 def test_edits_against_a_centre_part_a_group(spark):
     """Linked sets, one of them not linked with the centre, share a key; 200 sets with unrelated edits share none."""
     r, percent = random.Random(5), 80
